@@ -183,4 +183,4 @@ def flatten(resources: DataFrame, view: View) -> DataFrame:
     parsed = resources.where(F.col("resource_type") == view.resource).select(
         F.from_json("resource", schema).alias("_r")
     )
-    return flatten_parsed(parsed.where(F.col("_r").isNotNull()), view, "_r", schema)
+    return flatten_parsed(parsed, view, "_r", schema)

@@ -167,13 +167,17 @@ def resolve_codings(
     code: str,
     keys: Sequence[str],
     preferred: Sequence[str] = (),
+    ties: Sequence[str] = (),
 ) -> DataFrame:
-    """Maps-to walk with one row per key and standard concept; preferred systems win, then the lowest source id."""
+    """Maps-to walk with one row per key and standard concept.
+
+    Preferred systems win, then the lowest source id, the code, and the ``ties`` columns.
+    """
     walked = maps_to(df, vocabulary, system, code, systems)
     rank = F.lit(9)
     for i, url in reversed(list(enumerate(preferred, 1))):
         rank = F.when(F.col(system) == url, i).otherwise(rank)
-    order = [rank, F.col("src_concept_id"), F.col(code)]
+    order = [rank, F.col("src_concept_id"), F.col(code), *[F.col(t).asc_nulls_last() for t in ties]]
     return first_per_group(walked, [*keys, "std_concept_id"], order)
 
 

@@ -106,7 +106,14 @@ def condition_resolved(ctx: Context) -> DataFrame:
     preferred = [views.SNOMED, views.ICD10CM, views.ICD9CM, views.ICD10]
     staged = ctx.staging(views.condition)
     return V.resolve_codings(
-        staged, ctx.vocabulary, ctx.map("system_vocabulary"), "code_system", "code_value", ["id"], preferred
+        staged,
+        ctx.vocabulary,
+        ctx.map("system_vocabulary"),
+        "code_system",
+        "code_value",
+        ["id"],
+        preferred,
+        ["code_display"],
     )
 
 
@@ -142,7 +149,13 @@ def component_resolved(ctx: Context) -> DataFrame:
     staged = ctx.staging(views.observation_component)
     staged = staged.where(F.col("component_code").isNotNull() & _kept("status", "observation"))
     rows = V.resolve_codings(
-        staged, ctx.vocabulary, systems, "component_code_system", "component_code", ["id", "component_code"]
+        staged,
+        ctx.vocabulary,
+        systems,
+        "component_code_system",
+        "component_code",
+        ["id", "component_code"],
+        ties=["component_value_num", "component_value_string", "component_value_code", "component_value_text"],
     )
     rows = V.coded_answer(rows, ctx.vocabulary, systems, "component_value_code_system", "component_value_code")
     return V.unit_concept(rows, ctx.vocabulary, "component_unit_code")

@@ -29,6 +29,7 @@ def local_session(app: str = "medloom", cores: str = "*", shuffle_partitions: in
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
 
