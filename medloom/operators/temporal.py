@@ -33,8 +33,8 @@ def merge_intervals(
 
     Intervals whose gap is at most ``pad_days`` belong together. Returns one row per group and start day:
     the keys, ``start_day``, ``run_end`` and the aggregates. A run closes on a day when as many intervals
-    have ended (padded) as have started; starts count before ends on the same day. Start days after the last
-    close, which only reversed intervals produce, have no run and are dropped.
+    have ended (padded) as have started; starts count before ends on the same day. An interval that ends before
+    it starts takes part in the counts as it stands.
     """
     sums, mins = dict(sums or {}), dict(mins or {})
     carried = {**sums, **mins}
@@ -60,7 +60,10 @@ def merge_intervals(
     group = Window.partitionBy(*keys)
     so_far = group.orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     daily = daily.withColumn("_open", F.sum("opens").over(so_far)).withColumn("_shut", F.sum("closes").over(so_far))
-    shuts = (F.col("closes") > 0) & F.col("_open").between(F.col("_shut") - F.col("closes") + 1, F.col("_shut"))
+    shut_before = F.col("_shut") - F.col("closes")
+    shuts = (F.col("closes") > 0) & F.col("_open").between(shut_before + 1, F.col("_shut"))
+    # With reversed intervals the counts can also meet on a start.
+    shuts = shuts | ((F.col("opens") > 0) & shut_before.between(F.col("_open") - F.col("opens") + 1, F.col("_open")))
     daily = daily.withColumn("_end", F.when(shuts, F.col("day") - pad_days)).withColumn("_back", -F.col("day"))
     # The nearest run end on or after a start day, read backwards so that the frame only grows.
     ahead = group.orderBy("_back").rangeBetween(Window.unboundedPreceding, -pad_days)

@@ -17,6 +17,7 @@ from medloom.operators import temporal as TM
 from medloom.operators import terminology as V
 from medloom.operators.joins import keyed_join, lookup_join, within_period
 from medloom.schema.cdm import conform
+from medloom.session import checkpointed
 from medloom.sources.clinical_csv import states
 
 # Fixed values of the target tables.
@@ -52,6 +53,8 @@ class Sources:
     vocabulary: V.Vocabulary
     custom_map: DataFrame | None = None
     version: str = "3.3.0"
+    # Write frames that several tables read once to the shared checkpoint folder.
+    materialize: bool = False
     _frames: dict[str, DataFrame] = field(default_factory=dict, repr=False)
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -59,7 +62,8 @@ class Sources:
 
     def once(self, name: str, build) -> DataFrame:
         if name not in self._frames:
-            self._frames[name] = build()
+            df = build()
+            self._frames[name] = checkpointed(df) if self.materialize else df
         return self._frames[name]
 
     @property
