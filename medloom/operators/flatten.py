@@ -132,20 +132,20 @@ def _descend(part: Repeat, node: Node, depth: int) -> Column:
 
 
 def _product(parts: Sequence, node: Node) -> Column:
-    rows = _rows(parts[0], node)
-    names = column_names(parts[0])
+    rows, names = _rows(parts[0], node), column_names(parts[0])
     for part in parts[1:]:
         right = column_names(part)
+        rows = F.flatten(F.transform(rows, _pairing(part, node, tuple(names), tuple(right))))
+        names = names + right
+    return rows
 
-        def pair(a: Column, part=part, names=tuple(names), right=tuple(right)) -> Column:
-            return F.transform(
-                _rows(part, node),
-                lambda b: F.struct(*[a.getField(n).alias(n) for n in names], *[b.getField(n).alias(n) for n in right]),
-            )
 
-        rows = F.flatten(F.transform(rows, pair))
-        names += right
-    return rows
+def _pairing(part, node: Node, left: tuple, right: tuple) -> Callable[[Column], Column]:
+    def one(a: Column) -> Column:
+        kept = [a.getField(n).alias(n) for n in left]
+        return F.transform(_rows(part, node), lambda b: F.struct(*kept, *[b.getField(n).alias(n) for n in right]))
+
+    return one
 
 
 def flatten_parsed(df: DataFrame, view: View, root: str, schema: T.DataType) -> DataFrame:

@@ -453,9 +453,9 @@ def concept_by_id(vocabulary: Vocabulary, concept_id: int) -> DataFrame:
 
 
 def decorate(df: DataFrame, vocabulary: Vocabulary, limit: int, key: str) -> DataFrame:
-    """A sample of rows as ``(key, column, concept)`` with concept names; ``total`` counts the whole table."""
+    """The first rows by key as ``(key, column, concept)`` with concept names; ``total`` counts the whole table."""
     total = df.count()
-    sample = df.limit(limit)
+    sample = df.orderBy(key).limit(limit)
     names = concept_columns(df)
     entries = F.array(
         *[F.struct(F.lit(n).alias("column"), F.col(n).cast("int").alias("concept_id")) for n in names]
