@@ -180,7 +180,8 @@ def flatten_parsed(df: DataFrame, view: View, root: str, schema: T.DataType) ->
 def flatten(resources: DataFrame, view: View) -> DataFrame:
     """Rows of the view over ``(resource_type, id, resource)``; the type filter prunes partitions."""
     schema = fhir.schema(view.resource)
+    # The one-element explode keeps later filters above the parser: pushed below it, each would parse again.
     parsed = resources.where(F.col("resource_type") == view.resource).select(
-        F.from_json("resource", schema).alias("_r")
+        F.explode(F.array(F.from_json("resource", schema))).alias("_r")
     )
     return flatten_parsed(parsed, view, "_r", schema)
