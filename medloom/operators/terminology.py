@@ -136,6 +136,11 @@ class Vocabulary:
             .agg(F.min("concept_id").alias("unit_concept_id"))
         )
 
+    def materialized(self) -> Vocabulary:
+        """The Maps-to joins done once and written out, for runs in which many edges look codes up."""
+        maps = S.checkpointed(self.maps)
+        return Vocabulary(self.concept, self.relationship, self.ancestor, S.fits_broadcast(maps), maps)
+
     def narrowed(self, codes: DataFrame) -> Vocabulary:
         """The same vocabulary with the Maps-to table cut to codes that occur in the data.
 

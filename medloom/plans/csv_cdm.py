@@ -710,7 +710,8 @@ def _condition_cost(src: Sources, visits: DataFrame, conditions: DataFrame, plan
         "person_id",
         "visit_occurrence_id",
         F.col("condition_start_date").alias("_day"),
-    ).where("visit_occurrence_id IS NOT NULL")
+    )
+    facts = facts.where("visit_occurrence_id IS NOT NULL").distinct()
     rows = keyed_join(facts, rows, ["visit_occurrence_id", "person_id", "code"])
     rows = _with_plan(rows, plans, "_day")
     zero = F.lit(0).cast("decimal(18,2)")
@@ -742,12 +743,15 @@ def cost(
         ("Procedure", "p", _event_cost(src, src["procedures"], visits, procedures, proc, plans)),
         ("Drug", "i", _event_cost(src, src["immunizations"], visits, drugs, drug, plans)),
         ("Drug", "m", _event_cost(src, src["medications"], visits, drugs, drug, plans)),
-        ("Condition", "c", _condition_cost(src, visits, conditions, plans)),
     ]
+    if src.version != "2.7.0":  # the oldest exports have no claims
+        parts.append(("Condition", "c", _condition_cost(src, visits, conditions, plans)))
     named = [
         df.withColumn("cost_domain_id", F.lit(domain)).withColumn("_from", F.lit(tag)) for domain, tag, df in parts
     ]
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), named)
+    if "paid_by_primary" not in rows.columns:
+        rows = rows.withColumn("paid_by_primary", F.lit(None))
     rows = rows.select(
         _row_id("_from", "cost_event_id", "payer_plan_period_id", "total_cost", "paid_by_payer").alias("cost_id"),
         "cost_event_id",

@@ -88,8 +88,14 @@ class Context:
         return self.maps[map_id]
 
     def staging(self, view: views.View) -> DataFrame:
-        rows = self.resources if self.gate is None else self.gate(self.resources, view.name)
-        return flatten(rows, view)
+        key = "view " + view.name
+        if key not in self._frames:
+            rows = self.resources if self.gate is None else self.gate(self.resources, view.name)
+            df = flatten(rows, view)
+            # Persons and their addresses read the same view; the other views have one reader.
+            shared = self.materialize and view is views.patient
+            self._frames[key] = S.checkpointed(df) if shared else df
+        return self._frames[key]
 
     def family(self, name: str) -> DataFrame:
         """A resolved family. Several tables read it, so a full run writes it out once."""

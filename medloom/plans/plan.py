@@ -83,9 +83,11 @@ def build_tables(ctx: E.Context, only: set[str] | None = None) -> dict[str, Data
 def write_tables(ctx: E.Context, path: str, strict: bool = False, only: set[str] | None = None) -> DataFrame:
     """Write every table with one job each, bad rows to ``_quarantine``, and return the key report.
 
-    Families that feed several tables are materialised once. ``strict`` turns the required-element gate on.
+    The Maps-to table, families and views that feed several tables are materialised once. ``strict`` turns the
+    required-element gate on.
     """
     ctx.materialize = True
+    ctx.vocabulary = ctx.vocabulary.materialized()
     if strict:
         ctx.gate = quality.strict_gate
     spark = ctx.resources.sparkSession

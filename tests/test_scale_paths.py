@@ -66,12 +66,9 @@ def test_period_join_equals_nested_loop(spark, careful):
         "edge_condition_occurrence",
         "edge_observation_measurement",
         "edge_immunization",
-        "edge_medication_administration",
-        "edge_specimen",
         "visit_final",
         "drug_era",
         "csv_drug_exposure",
-        "csv_measurement",
         "search_references",
     ],
 )

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from medloom.operators import quality as QL
 from medloom.operators import references as R
+from medloom.operators.flatten import flatten
+from medloom.plans import views
 from medloom.plans.csv_cdm import cdm_source
 from medloom.sources import clinical_csv, conceptmaps, fhir, vocabulary
 from medloom.streaming import ingest
@@ -31,6 +33,9 @@ def test_bundles_from_files(spark, tmp_path):
     fhir.write_raw(fhir.load(spark, str(tmp_path)), str(tmp_path / "raw"))
     back = spark.read.parquet(str(tmp_path / "raw"))
     assert sorted(r.resource_type for r in back.collect()) == ["Patient", "Patient"]
+    # An edge opens only the folder of its own type, and only the JSON column.
+    plan = flatten(back, views.patient_death)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(resource_type" in plan and "ReadSchema: struct<resource:string>" in plan
 
 
 @pytest.mark.parametrize(
