@@ -410,7 +410,8 @@ register(
     with_(C.ctes("patients"))
     + f"""
 SELECT {hk('id')} AS person_id, CASE upper(gender) WHEN 'M' THEN 8507 ELSE 8532 END AS gender_concept_id,
-       year(birthdate) AS year_of_birth, month(birthdate) AS month_of_birth, day(birthdate) AS day_of_birth,
+       CAST(year(birthdate) AS INT) AS year_of_birth, CAST(month(birthdate) AS INT) AS month_of_birth,
+       CAST(day(birthdate) AS INT) AS day_of_birth,
        CASE race WHEN 'white' THEN 8527 WHEN 'black' THEN 8516 WHEN 'asian' THEN 8515 ELSE 0 END AS race_concept_id,
        CASE ethnicity WHEN 'hispanic' THEN 38003563 WHEN 'nonhispanic' THEN 38003564 ELSE 0 END AS ethnicity_concept_id,
        CASE WHEN {_STATE} IS NOT NULL THEN {hk('zip')} END AS location_id, id AS person_source_value,

@@ -624,7 +624,8 @@ register(
 SELECT {hk("'p' || c_custkey")} AS person_id,
        CASE WHEN c_custkey % 3 = 0 THEN 8507 WHEN c_custkey % 3 = 1 THEN 8532
             ELSE CASE c_custkey % 5 WHEN 0 THEN 8507 WHEN 1 THEN 8532 WHEN 2 THEN 8521 ELSE 0 END END AS gender_concept_id,
-       year({_BORN}) AS year_of_birth, month({_BORN}) AS month_of_birth, day({_BORN}) AS day_of_birth,
+       CAST(year({_BORN}) AS INT) AS year_of_birth, CAST(month({_BORN}) AS INT) AS month_of_birth,
+       CAST(day({_BORN}) AS INT) AS day_of_birth,
        CAST({_BORN} AS TIMESTAMP) + CASE WHEN c_custkey % 4 = 0 THEN INTERVAL 1335 MINUTE ELSE INTERVAL 0 MINUTE END
          AS birth_datetime,
        CASE WHEN c_custkey % 9 = 0 THEN 8557 ELSE

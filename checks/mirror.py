@@ -100,7 +100,7 @@ UNION ALL
 SELECT CAST(p_partkey + 1 AS INT), CAST(p_partkey + 1 AS INT) FROM part WHERE p_partkey % 8 <> 0
 """
 
-_seen: dict[tuple[int, str], Vocabulary] = {}
+_seen: dict[tuple[str, str], Vocabulary] = {}
 
 
 def views(spark: SparkSession, sf_dir: str, *names: str) -> None:
@@ -110,7 +110,7 @@ def views(spark: SparkSession, sf_dir: str, *names: str) -> None:
 
 def vocabulary(spark: SparkSession, sf_dir: str) -> Vocabulary:
     """Built once per session and folder, so its size is counted once."""
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _seen:
         views(spark, sf_dir, "part", "nation", "region")
         _seen[key] = Vocabulary(

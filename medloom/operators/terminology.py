@@ -471,4 +471,4 @@ def decorate(df: DataFrame, vocabulary: Vocabulary, limit: int, key: str) -> Dat
     named = known.join(F.broadcast(ids), "concept_id")
     return named.withColumn("standard", F.col("standard_concept").eqNullSafe(F.lit("S"))).drop(
         "standard_concept"
-    ).withColumn("total", F.lit(total))
+    ).withColumn("total", F.lit(total).cast("bigint"))
