@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from medloom.operators.joins import keyed_join, lookup_join
@@ -43,16 +43,15 @@ def duplicate_identifiers(index: DataFrame) -> DataFrame:
     return index.where("owners > 1")
 
 
-def _searching(resources: DataFrame) -> DataFrame:
-    return resources.where(
-        F.col("resource_type").isin(*SEARCHING_TYPES) & F.col("resource").contains("?identifier=")
-    )
+def _searches() -> Column:
+    test = F.col("resource_type").isin(*SEARCHING_TYPES) & F.col("resource").contains("?identifier=")
+    return F.coalesce(test, F.lit(False))
 
 
 def found_references(resources: DataFrame, index: DataFrame) -> DataFrame:
     """Every resolvable search reference of every resource."""
     refs = F.array_distinct(F.regexp_extract_all("resource", F.lit(_SEARCH), 1))
-    rows = _searching(resources).select("resource_type", "id", F.explode(refs).alias("search"))
+    rows = resources.where(_searches()).select("resource_type", "id", F.explode(refs).alias("search"))
     return lookup_join(rows, index.select("search", "direct"), ["search"], "inner")
 
 
@@ -71,7 +70,8 @@ def resolve_references(resources: DataFrame, index: DataFrame) -> DataFrame:
         .groupBy("resource_type", "id")
         .agg(F.collect_list(F.struct("search", "direct")).alias("_swap"))
     )
-    joined = keyed_join(resources, found, ["resource_type", "id"], "left")
+    # Only resources that search are shuffled; all others pass through.
+    joined = keyed_join(resources.where(_searches()), found, ["resource_type", "id"], "left")
     quoted = F.lit('"')
     swapped = F.reduce(
         F.coalesce("_swap", F.array().cast("array<struct<search:string,direct:string>>")),
@@ -80,4 +80,5 @@ def resolve_references(resources: DataFrame, index: DataFrame) -> DataFrame:
             text, F.concat(quoted, s.getField("search"), quoted), F.concat(quoted, s.getField("direct"), quoted)
         ),
     )
-    return joined.withColumn("resource", swapped).select(*resources.columns)
+    changed = joined.withColumn("resource", swapped).select(*resources.columns)
+    return resources.where(~_searches()).unionByName(changed)
