@@ -207,8 +207,9 @@ def payer_plan_period(src: Sources) -> DataFrame:
     """Payer transitions as periods; the oldest exports give years, later ones dates."""
     pt = src["payer_transitions"]
     if src.version == "2.7.0":
-        begin, finish = F.make_date("start_year", F.lit(1), F.lit(1)), F.make_date("end_year", F.lit(12), F.lit(31))
-    elif src.version == "3.0.0":
+        first, last = [F.col(c).try_cast("int") for c in ("start_year", "end_year")]
+        begin, finish = F.make_date(first, F.lit(1), F.lit(1)), F.make_date(last, F.lit(12), F.lit(31))
+    elif src.version == "3.0.0":  # the year columns hold dates here
         begin, finish = [F.col(c).cast("string").try_cast("date") for c in ("start_year", "end_year")]
     else:
         begin, finish = F.col("start_date").cast("date"), F.col("end_date").cast("date")
