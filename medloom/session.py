@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,20 +39,44 @@ def conf_int(spark: SparkSession, key: str, default: int) -> int:
     return int(spark.conf.get(key, str(default)))
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage in the folder the cluster names, so a lost executor never recomputes ``df``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate tables that driver and executors share: ``spark.checkpoint.dir`` of the session.
 
-    Only when no folder is configured (tests, a laptop) a temporary one is made.
+    Only a local master may go without; a temporary folder is made for it. Elsewhere a machine's own folder would be lost to
+    the others, so the setting is required.
     """
-    context = df.sparkSession.sparkContext
-    configured = context.getConf().get("spark.checkpoint.dir")
-    if configured is None and context.getCheckpointDir() is None:
+    context = spark.sparkContext
+    folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    if folder is None:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
-    elif configured is not None and context.getCheckpointDir() is None:
-        context.setCheckpointDir(configured)
+        folder = context.getCheckpointDir()
+    return folder
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage in the shared folder, so a lost executor never recomputes ``df``."""
+    folder = shared_folder(df.sparkSession)
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a table in the shared folder and read on from it, so that later scans read only their columns.
+
+    The table goes when the driver's JVM ends.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def fits_broadcast(df: DataFrame) -> bool:
     """Count up to the limit, so the answer costs no more than the limit itself."""
     cap = conf_int(df.sparkSession, BROADCAST_ROWS_CONF, BROADCAST_ROWS_DEFAULT)
