@@ -47,7 +47,7 @@ def targets(totals: DataFrame, share: int = 100) -> DataFrame:
 
     Giving a capped source's excess back to the others by weight until none is above its cap settles at one common level:
     target = least(cap, level * weight). Sorted by cap / weight, the capped sources are a prefix, so one running sum finds
-    the level exactly from whole numbers.
+    the level exactly from whole numbers: it is the first that fits, and later ones are lower.
     """
     t = totals.withColumn("cap", F.col("source_size") * MOST_REPEATS)
     ratio = F.col("cap") / F.col("weight")
@@ -60,7 +60,7 @@ def targets(totals: DataFrame, share: int = 100) -> DataFrame:
     level = (budget - capped * 100).cast("double") / (free * 100)
     t = t.withColumn("level", level)
     fits = F.when(F.col("level") * F.col("weight") <= F.col("cap"), F.col("level"))
-    t = t.withColumn("level", F.min(fits).over(every))
+    t = t.withColumn("level", F.max(fits).over(every))
     return t.withColumn(
         "target", F.least(F.col("cap").cast("double"), F.coalesce(F.col("level") * F.col("weight"), F.col("cap").cast("double")))
     ).drop("cap", "level")

@@ -53,7 +53,7 @@ filled AS (
             / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0)) AS level
   FROM weighed
   WINDOW before AS (ORDER BY cap::DOUBLE / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-levels AS (SELECT min(level) AS level FROM filled WHERE level * weight <= cap),
+levels AS (SELECT max(level) AS level FROM filled WHERE level * weight <= cap),
 planned AS (
   SELECT f.source, f.source_size, least(f.cap::DOUBLE, coalesce(l.level * f.weight, f.cap::DOUBLE)) AS target
   FROM filled f CROSS JOIN levels l),
