@@ -129,7 +129,8 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> np.nda
 
     # the sample is bounded, so one task may hold it; the order makes reruns agree
     one = saved(rows).repartition(1).sortWithinPartitions("doc_id", F.xxhash64("text"))
-    return np.array(one.mapInArrow(learn, "weights array<double>").first()["weights"])
+    row = one.mapInArrow(learn, "weights array<double>").first()
+    return np.array(row["weights"]) if row else train([])  # without labelled rows there is no task
 
 
 def score(docs: DataFrame, weights: np.ndarray, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
