@@ -188,16 +188,22 @@ def search(vectors: DataFrame, queries, k: int = 20) -> DataFrame:
         if not len(qs) or not len(xs):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
         q, x = np.stack(qs["q"].to_numpy()), np.stack(xs["v"].to_numpy())
-        ids, out = xs["vec_id"].to_numpy(), []
-        for at in range(0, len(q), 256):
-            products = q[at : at + 256] @ x.T
-            for i, row in enumerate(products):
-                me = qs["query_id"].iloc[at + i]
-                row[ids == me] = -np.inf
-                near, value = _best(row, lambda near: (x[near] * q[at + i]).sum(axis=1), ids, k + 1)
-                keep = ids[near] != me
-                out.append(pd.DataFrame({"query_id": me, "vec_id": ids[near][keep][:k], "score": value[keep][:k]}))
-        return pd.concat(out)
+        ids, asks = xs["vec_id"].to_numpy(), qs["query_id"].to_numpy()
+        found: list[tuple[np.ndarray, ...]] = []
+        step = max(1, 200_000 // len(x))  # bounds what is scored at once, ties included
+        for at in range(0, len(q), step):
+            products = q[at : at + step] @ x.T
+            products[asks[at : at + step, None] == ids] = -np.inf
+            edge = np.partition(products, -k, axis=1)[:, -k, None] if len(x) > k else np.full((len(products), 1), -np.inf)
+            # matrix products round equal vectors differently: all that come near the k-th are scored again one by one
+            near = np.isfinite(products) & (products >= edge - np.where(np.isfinite(edge), 1e-9 * np.maximum(1.0, np.abs(edge)), 0.0))
+            row, col = np.nonzero(near)
+            value = (x[col] * q[at + row]).sum(axis=1)
+            order = np.lexsort((ids[col], -value, row))
+            row, col, value = row[order], col[order], value[order]
+            place = np.arange(len(row)) - np.searchsorted(row, row)
+            found.append((asks[at + row[place < k]], ids[col[place < k]], value[place < k]))
+        return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), map(np.concatenate, zip(*found)))))
 
     key = ["leaf", "block", "turn"]
     scored = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(score, "query_id bigint, vec_id bigint, score double")
