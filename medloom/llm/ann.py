@@ -25,6 +25,7 @@ LEAF_SAMPLE = 60  # sampled vectors in a leaf, at most
 CALIBRATION = 64  # queries searched exactly
 TARGET_RECALL = 0.97
 BLOCK = 4_000  # vectors, and queries, that meet in one group
+BUNDLES = 64  # neighbouring leaves are dealt out together, so that a query answers once for each bundle it visits
 
 
 class Tree:
@@ -161,39 +162,53 @@ def search(vectors: DataFrame, queries, k: int = 20) -> DataFrame:
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                q = _matrix(batch.column("v"), width)
-                leaves = [shared.value.visit(row, visits) for row in q]
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                rows, bundles, leaves = [], [], []
+                for i, q in enumerate(_matrix(part.column("v"), width)):
+                    seen = np.sort(np.array(shared.value.visit(q, visits)))
+                    mine, first = np.unique(seen * BUNDLES // shared.value.leaves, return_index=True)
+                    rows += [i] * len(mine)
+                    bundles += mine.tolist()
+                    leaves += [p.tolist() for p in np.split(seen, first[1:])]
+                took = pa.array(rows, pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("vec_id"), batch.column("v"), pa.array(leaves, pa.list_(pa.int64()))], ["query_id", "q", "leaves"]
+                    [
+                        part.column("vec_id").take(took),
+                        part.column("v").take(took),
+                        pa.array(bundles, pa.int64()),
+                        pa.array(leaves, pa.list_(pa.int64())),
+                    ],
+                    ["query_id", "q", "bundle", "leaves"],
                 )
 
-    ways = asked.select("vec_id", "v").mapInArrow(visit, "query_id bigint, q array<double>, leaves array<bigint>")
+    ways = asked.select("vec_id", "v").mapInArrow(visit, "query_id bigint, q array<double>, bundle bigint, leaves array<bigint>")
     ways = saved(ways)
-    per_leaf = placed.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    # queries per leaf only size the split; both tables have one row per leaf of a bounded tree
-    asks = ways.select(F.explode("leaves").alias("leaf")).groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("turns"))
-    plan = F.broadcast(saved(per_leaf.join(asks, "leaf")))
-    salt = lambda c, n: F.pmod(F.xxhash64(c), n)
-    right = placed.join(plan, "leaf").select(
-        "leaf", salt("vec_id", F.col("blocks")).alias("block"), F.explode(F.sequence(F.lit(0), F.col("turns") - 1)).alias("turn"), "vec_id", "v"
+    placed = placed.withColumn("bundle", F.floor(F.col("leaf") * BUNDLES / F.lit(tree.leaves)).cast("long"))
+    per_bundle = placed.groupBy("bundle").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    asks = ways.groupBy("bundle").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("turns"))
+    plan = F.broadcast(saved(per_bundle.join(asks, "bundle")))  # at most BUNDLES rows
+    salt = lambda c, n: F.pmod(F.xxhash64(c), n).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    right = placed.join(plan, "bundle").select(
+        "bundle", salt("vec_id", F.col("blocks")).alias("block"), every("turns").alias("turn"), "vec_id", "v", "leaf"
     )
-    left = ways.select("query_id", "q", F.explode("leaves").alias("leaf")).join(plan, "leaf").select(
-        "leaf", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), salt("query_id", F.col("turns")).alias("turn"), "query_id", "q"
+    left = ways.join(plan, "bundle").select(
+        "bundle", every("blocks").alias("block"), salt("query_id", F.col("turns")).alias("turn"), "query_id", "q", "leaves"
     )
-    right = right.withColumn("block", F.col("block").cast("int")).withColumn("turn", F.col("turn").cast("int"))
-    left = left.withColumn("block", F.col("block").cast("int")).withColumn("turn", F.col("turn").cast("int"))
 
     def score(qs: pd.DataFrame, xs: pd.DataFrame) -> pd.DataFrame:
         if not len(qs) or not len(xs):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
         q, x = np.stack(qs["q"].to_numpy()), np.stack(xs["v"].to_numpy())
-        ids, asks = xs["vec_id"].to_numpy(), qs["query_id"].to_numpy()
+        ids, leaf, asks = xs["vec_id"].to_numpy(), xs["leaf"].to_numpy(), qs["query_id"].to_numpy()
         found: list[tuple[np.ndarray, ...]] = []
         step = max(1, 200_000 // len(x))  # bounds what is scored at once, ties included
         for at in range(0, len(q), step):
             products = q[at : at + step] @ x.T
             products[asks[at : at + step, None] == ids] = -np.inf
+            for i, leaves in enumerate(qs["leaves"].iloc[at : at + step]):
+                products[i, ~np.isin(leaf, leaves)] = -np.inf
             edge = np.partition(products, -k, axis=1)[:, -k, None] if len(x) > k else np.full((len(products), 1), -np.inf)
             # matrix products round equal vectors differently: all that come near the k-th are scored again one by one
             near = np.isfinite(products) & (products >= edge - np.where(np.isfinite(edge), 1e-9 * np.maximum(1.0, np.abs(edge)), 0.0))
@@ -205,7 +220,7 @@ def search(vectors: DataFrame, queries, k: int = 20) -> DataFrame:
             found.append((asks[at + row[place < k]], ids[col[place < k]], value[place < k]))
         return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), map(np.concatenate, zip(*found)))))
 
-    key = ["leaf", "block", "turn"]
+    key = ["bundle", "block", "turn"]
     scored = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(score, "query_id bigint, vec_id bigint, score double")
     return _top(scored, k).select("query_id", "rank", "vec_id", "score")
 
