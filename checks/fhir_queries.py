@@ -536,12 +536,6 @@ register(
         "im", [("CVX", "base + 5", EVEN), ("RxNorm", "base + 2", "true")], 32827, "l_linenumber <> 1", outer=True
     ),
 )
-register(
-    "edge_medication",
-    edge(E.medication, "drug_exposure_id drug_concept_id drug_source_value", "Medication"),
-    "SELECT CAST(NULL AS BIGINT) AS drug_exposure_id, CAST(NULL AS INT) AS drug_concept_id, "
-    "CAST(NULL AS VARCHAR) AS drug_source_value FROM part WHERE false",
-)
 register(
     "edge_allergy_observation",
     edge(

@@ -58,7 +58,8 @@ def merge_intervals(
         *[F.min(n).alias(n) for n in mins],
     )
     group = Window.partitionBy(*keys)
-    so_far = group.orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # stays without an end close after all days
+    so_far = group.orderBy(F.asc_nulls_last("day")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     daily = daily.withColumn("_open", F.sum("opens").over(so_far)).withColumn("_shut", F.sum("closes").over(so_far))
     shut_before = F.col("_shut") - F.col("closes")
     shuts = (F.col("closes") > 0) & F.col("_open").between(shut_before + 1, F.col("_shut"))

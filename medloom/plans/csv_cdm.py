@@ -344,7 +344,7 @@ def _in_context(src: Sources, df: DataFrame) -> DataFrame:
 
 
 def _is_33(src: Sources) -> bool:
-    return src.version >= "3.3.0"
+    return tuple(int(part) for part in src.version.split(".")) >= (3, 3, 0)
 
 
 def _procedure_day(src: Sources) -> Column:

@@ -393,7 +393,8 @@ def report_note(ctx: Context) -> DataFrame:
     df = ctx.staging(views.report_note)
     df = df.where(F.col("effective_dt").isNotNull() & some_text & _kept("status", "report"))
     df = V.code_in_vocabulary(df, ctx.vocabulary, "LOINC", "code_loinc", "_class")
-    body = F.decode(F.try_to_binary(F.col("presented_data"), F.lit("base64")), "UTF-8")
+    # attachments that are not UTF-8 text (scans, for example) have no body
+    body = F.try_validate_utf8(F.try_to_binary(F.col("presented_data"), F.lit("base64")).cast("string"))
     when = _wall("effective_dt")
     values = {
         "note_id": K.reference_id("id"),
@@ -452,6 +453,7 @@ def provider_with_roles(ctx: Context, providers: DataFrame | None = None) -> Dat
         F.struct(
             F.col("_specialty").isNull().alias("none"),
             F.col("_specialty").alias("specialty"),
+            K.reference_id("org_ref").isNull().alias("no_site"),
             K.reference_id("org_ref").alias("site"),
         ).alias("_role"),
     ).where("provider_id IS NOT NULL")
