@@ -192,7 +192,6 @@ def resolve_priority(
     codes: Sequence[tuple[str, str]],
     domain: str | None,
     keep_unmapped: bool = False,
-    key: str = "id",
 ) -> DataFrame:
     """One concept per row from several code columns, the first resolvable one winning.
 
@@ -224,17 +223,19 @@ def resolve_priority(
             F.col("_hit.src").alias("src_concept_id"),
             F.col("_hit.std").alias("std_concept_id"),
         ).drop("_hit")
-    # One spread lookup over all code columns, then the best hit of each row.
+    # Resolve each distinct combination of codes once, then bring the answers back to the rows.
+    columns = list(dict.fromkeys(column for _, column in codes))
+    df = df.withColumn("_codes", F.to_json(F.array(*[F.col(c).cast("string") for c in columns])))
     entries = [
         F.struct(F.lit(i).alias("prio"), F.lit(vocab).alias("vocabulary_id"), F.col(column).alias("concept_code"))
         for i, (vocab, column) in enumerate(codes)
     ]
     filled = F.filter(F.array(*entries), lambda e: e.getField("concept_code").isNotNull())
-    exploded = df.withColumn("_e", F.explode(filled)).select("*", "_e.*").drop("_e")
-    joined = lookup_join(exploded, targets, KEY, "inner", small=False)
-    joined = joined.withColumn("std_concept_id", standard)
-    best = first_per_group(joined, [key], [F.col("prio"), F.col("std_concept_id"), F.col("src_concept_id")])
-    return best.withColumn("src_code", F.col("concept_code")).drop("prio", *KEY)
+    exploded = df.select("_codes", *columns).distinct().select("_codes", F.explode(filled).alias("_e")).select("_codes", "_e.*")
+    joined = lookup_join(exploded, targets, KEY, "inner", small=False).withColumn("std_concept_id", standard)
+    best = first_per_group(joined, ["_codes"], [F.col("prio"), F.col("std_concept_id"), F.col("src_concept_id")])
+    best = best.select("_codes", F.col("concept_code").alias("src_code"), "src_concept_id", "std_concept_id")
+    return lookup_join(df, best, ["_codes"], "inner", small=False).drop("_codes")
 
 
 def coded_answer(df: DataFrame, vocabulary: Vocabulary, systems: DataFrame, system: str, code: str) -> DataFrame:
