@@ -64,11 +64,10 @@ class UnionAll:
 
 @dataclass(frozen=True)
 class Repeat:
-    """Descend along ``path`` from each found node; the typed schema bounds the depth."""
+    """Descend along ``path`` from each found node, as deep as the typed schema goes."""
 
     path: Path
     select: tuple
-    depth: int = 8
 
 
 @dataclass(frozen=True)
@@ -108,24 +107,22 @@ def _rows(part, node: Node) -> Column:
             items = F.when(F.size(items) == 0, empty).otherwise(items)
         return F.flatten(F.transform(items, lambda x: _product(part.select, Node(x, element))))
     if isinstance(part, Repeat):
-        return _descend(part, node, part.depth)
+        return _descend(part, node)
     raise TypeError(f"not a view part: {part!r}")
 
 
-def _descend(part: Repeat, node: Node, depth: int) -> Column:
+def _descend(part: Repeat, node: Node) -> Column | None:
     try:
         found = part.path(node)
     except KeyError:  # the schema goes no deeper
         return None
-    if depth == 0:
-        return None
     if not found.is_list:
         found = Node(F.filter(F.array(found.col), lambda x: x.isNotNull()), T.ArrayType(found.dtype))
     element = found.dtype.elementType
 
     def one(x: Column) -> Column:
         here = _product(part.select, Node(x, element))
-        below = _descend(part, Node(x, element), depth - 1)
+        below = _descend(part, Node(x, element))
         return here if below is None else F.concat(here, below)
 
     return F.flatten(F.transform(F.coalesce(found.col, F.array().cast(found.dtype)), one))

@@ -9,33 +9,87 @@ from pyspark.sql import functions as F
 
 from medloom.operators.terminology import Vocabulary
 
-# Columns of the vocabulary files. '#' marks a whole number, '%' a decimal, '@' a yyyyMMdd date.
-FILES: dict[str, str] = {
-    "vocabulary": "vocabulary_id vocabulary_name vocabulary_reference vocabulary_version #vocabulary_concept_id",
-    "domain": "domain_id domain_name #domain_concept_id",
-    "concept_class": "concept_class_id concept_class_name #concept_class_concept_id",
-    "concept": "#concept_id concept_name domain_id vocabulary_id concept_class_id standard_concept concept_code "
-    "@valid_start_date @valid_end_date invalid_reason",
-    "relationship": "relationship_id relationship_name is_hierarchical defines_ancestry reverse_relationship_id "
-    "#relationship_concept_id",
-    "concept_relationship": "#concept_id_1 #concept_id_2 relationship_id @valid_start_date @valid_end_date "
-    "invalid_reason",
-    "concept_synonym": "#concept_id concept_synonym_name #language_concept_id",
-    "concept_ancestor": "#ancestor_concept_id #descendant_concept_id #min_levels_of_separation "
-    "#max_levels_of_separation",
-    "drug_strength": "#drug_concept_id #ingredient_concept_id %amount_value #amount_unit_concept_id "
-    "%numerator_value #numerator_unit_concept_id %denominator_value #denominator_unit_concept_id #box_size "
-    "@valid_start_date @valid_end_date invalid_reason",
+# Columns of the vocabulary files and their types; dates are written yyyyMMdd.
+FILES: dict[str, list[tuple[str, str]]] = {
+    "vocabulary": [
+        ("vocabulary_id", "string"),
+        ("vocabulary_name", "string"),
+        ("vocabulary_reference", "string"),
+        ("vocabulary_version", "string"),
+        ("vocabulary_concept_id", "int"),
+    ],
+    "domain": [
+        ("domain_id", "string"),
+        ("domain_name", "string"),
+        ("domain_concept_id", "int"),
+    ],
+    "concept_class": [
+        ("concept_class_id", "string"),
+        ("concept_class_name", "string"),
+        ("concept_class_concept_id", "int"),
+    ],
+    "concept": [
+        ("concept_id", "int"),
+        ("concept_name", "string"),
+        ("domain_id", "string"),
+        ("vocabulary_id", "string"),
+        ("concept_class_id", "string"),
+        ("standard_concept", "string"),
+        ("concept_code", "string"),
+        ("valid_start_date", "date"),
+        ("valid_end_date", "date"),
+        ("invalid_reason", "string"),
+    ],
+    "relationship": [
+        ("relationship_id", "string"),
+        ("relationship_name", "string"),
+        ("is_hierarchical", "string"),
+        ("defines_ancestry", "string"),
+        ("reverse_relationship_id", "string"),
+        ("relationship_concept_id", "int"),
+    ],
+    "concept_relationship": [
+        ("concept_id_1", "int"),
+        ("concept_id_2", "int"),
+        ("relationship_id", "string"),
+        ("valid_start_date", "date"),
+        ("valid_end_date", "date"),
+        ("invalid_reason", "string"),
+    ],
+    "concept_synonym": [
+        ("concept_id", "int"),
+        ("concept_synonym_name", "string"),
+        ("language_concept_id", "int"),
+    ],
+    "concept_ancestor": [
+        ("ancestor_concept_id", "int"),
+        ("descendant_concept_id", "int"),
+        ("min_levels_of_separation", "int"),
+        ("max_levels_of_separation", "int"),
+    ],
+    "drug_strength": [
+        ("drug_concept_id", "int"),
+        ("ingredient_concept_id", "int"),
+        ("amount_value", "decimal(38,10)"),
+        ("amount_unit_concept_id", "int"),
+        ("numerator_value", "decimal(38,10)"),
+        ("numerator_unit_concept_id", "int"),
+        ("denominator_value", "decimal(38,10)"),
+        ("denominator_unit_concept_id", "int"),
+        ("box_size", "int"),
+        ("valid_start_date", "date"),
+        ("valid_end_date", "date"),
+        ("invalid_reason", "string"),
+    ],
 }
 CVX_CONCEPT_BASE = 2_000_000_000
 
 
 def read_table(spark: SparkSession, folder: str, table: str) -> DataFrame:
     """One vocabulary file. Quotes are plain characters; an empty field is NULL."""
-    names = FILES[table].split()
     raw = spark.read.csv(
         f"{folder}/{table.upper()}.csv",
-        schema=", ".join(f"{n.lstrip('#%@')} string" for n in names),
+        schema=", ".join(f"{name} string" for name, _ in FILES[table]),
         sep="\t",
         header=True,
         quote="",
@@ -44,15 +98,10 @@ def read_table(spark: SparkSession, folder: str, table: str) -> DataFrame:
         enforceSchema=True,
     )
     out = []
-    for n in names:
-        column = F.nullif(F.col(n.lstrip("#%@")), F.lit(""))
-        if n[0] == "#":
-            column = column.cast("int")
-        elif n[0] == "%":
-            column = column.cast("decimal(38,10)")
-        elif n[0] == "@":
-            column = F.to_date(column, "yyyyMMdd")
-        out.append(column.alias(n.lstrip("#%@")))
+    for name, kind in FILES[table]:
+        column = F.nullif(F.col(name), F.lit(""))
+        column = F.to_date(column, "yyyyMMdd") if kind == "date" else column.cast(kind)
+        out.append(column.alias(name))
     return raw.select(*out)
 
 

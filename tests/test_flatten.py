@@ -71,6 +71,15 @@ def test_repeat_descends_to_every_depth(spark):
     assert got == ["1", "1.1", "1.1.1", "1.2", "2"]
 
 
+def test_repeat_has_no_depth_of_its_own(spark):
+    schema, item = "struct<k:string>", {"k": "12"}
+    for level in range(11, 0, -1):
+        schema, item = f"struct<k:string,item:array<{schema}>>", {"k": str(level), "item": [item]}
+    view = View("v", "X", (Repeat(lambda n: n.get("item"), (Columns((col("k", "k"),)),)),))
+    got = run(spark, f"struct<item:array<{schema}>>", [{"item": [item]}], view).collect()
+    assert sorted(int(r.k) for r in got) == list(range(1, 13))
+
+
 @pytest.mark.parametrize(
     ("reference", "kind", "want"),
     [
