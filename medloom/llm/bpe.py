@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 # Words and arcs remembered by one Python worker; when full, the memory starts anew.
-MOST_WORDS = 600_000
-MOST_ARCS = 1_000_000
+MOST_WORDS = 300_000
+MOST_ARCS = 500_000
 # Characters whose class, case and composition are the same in all Unicode versions in use: Latin, Cyrillic without the dotted
 # capital I, general punctuation, kana, common Han, Hangul.
 SETTLED = regex.compile("[\\x00-\\x1b -\u012f\u0131-\u02af\u0400-\u0482\u048a-\u04ff\u2010-\u2027\u2030-\u205e\u3000-\u3020\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3]*")
@@ -52,6 +52,7 @@ class Automaton:
         self.longest = max((len(t) - (len(suffix) if suffix and t.endswith(suffix) else 0) for t in vocab), default=1)
         self.symbols = {t for t in vocab if len(t) == 1}
         self.left: dict[int, int] = {}
+        self.right: dict[int, int] = {}
         self.born: dict[int, int] = {}
         self.removed: dict[int, dict[int, int]] = {}
         for rank, (u, v) in enumerate(merges):
@@ -60,12 +61,24 @@ class Automaton:
         self.arcs: dict[int, bool] = {}
 
     def _gadget(self, rank: int, u: int, v: int, uv: int) -> None:
-        # the arc uv leads where v led so far, before u's own target loses v
-        self.left[uv], self.born[uv] = u, rank
-        if v in self.removed:
-            self.removed[uv] = dict(self.removed[v])
+        # the arc uv leads where v led so far, before u's own target loses v; the arcs lost there are looked up along ``right``
+        self.left[uv], self.right[uv], self.born[uv] = u, v, rank
         self.removed.setdefault(u, {}).setdefault(v, rank)
 
+    def _lost(self, u: int, t: int) -> int | None:
+        """The first merge at which the target state of u lost the arc t: its own losses, and those it was born with."""
+        first, until = None, 1 << 60
+        while True:
+            own = self.removed.get(u)
+            if own is not None:
+                rank = own.get(t)
+                if rank is not None and rank < until:
+                    first = rank
+            if u not in self.right:
+                return first
+            until = self.born[u]
+            u = self.right[u]
+
     def follows(self, u: int, t: int) -> bool:
         """Whether the target state of u has an arc t."""
         key = u << 32 | t
@@ -73,16 +86,15 @@ class Automaton:
         if known is None:
             if len(self.arcs) >= MOST_ARCS:
                 self.arcs.clear()
-            known = self.arcs[key] = self._arc(self.removed.get(u), t)
+            known = self.arcs[key] = self._arc(u, t)
         return known
 
-    def _arc(self, removed: dict[int, int] | None, t: int) -> bool:
+    def _arc(self, u: int, t: int) -> bool:
         """t has an arc unless it, or the left part it was made from, was gone when it was made."""
-        if not removed:
-            return True
         until = 1 << 60
         while True:
-            if removed.get(t, until + 1) <= until:
+            lost = self._lost(u, t)
+            if lost is not None and lost <= until:
                 return False
             if t not in self.left:
                 return True
@@ -198,6 +210,13 @@ class Tokenizer:
         return " ".join([labels[i] for i in np.frombuffer(ids, "<u4").tolist()])
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Batches in short pieces, so that only a few results are held at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 @functools.lru_cache(maxsize=4)
 def tokenizer(path: str) -> Tokenizer:
     """One per Python worker and file."""
@@ -212,7 +231,7 @@ def encode(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",)) -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = tokenizer(path)
         names = [f.name for f in fields]
-        for batch in batches:
+        for batch in _slices(batches):
             ids = [t.encode(x.as_py()) for x in batch.column("_text")]
             counts = pa.array([len(x) // 4 for x in ids], pa.int64())
             yield pa.RecordBatch.from_arrays(
