@@ -24,8 +24,8 @@ import unicodedata
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-# Words and arcs remembered by one Python worker; when full, the memory starts anew.
-MOST_WORDS = 300_000
+# Words and arcs remembered by one Python worker; a full memory of words is kept until the next one is full, that of arcs starts anew.
+MOST_WORDS = 250_000
 MOST_ARCS = 500_000
 # Characters whose class, case and composition are the same in all Unicode versions in use: Latin, Cyrillic without the dotted
 # capital I, general punctuation, kana, common Han, Hangul.
@@ -144,11 +144,17 @@ class _Memory(dict):
     def __init__(self, make):
         super().__init__()
         self.make = make
+        self.old: dict = {}
 
     def __missing__(self, word):
+        value = self.old.pop(word, None)
+        if value is None:
+            value = self.make(word)
         if len(self) >= MOST_WORDS:
+            # the words before these go, those in use come back from here
+            self.old = dict(self)
             self.clear()
-        value = self[word] = self.make(word)
+        self[word] = value
         return value
 
 
