@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 from medloom.llm import ann, bpe, chat, html, jaccard, lines, lm, mixing, queries, rules, subword
+from medloom.llm.cluster import saved
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 DATA = "/root/testdata/sf0.001"
@@ -236,7 +237,7 @@ def test_lines(spark, docs):
     base = "The quick brown foxes jumped above seventeen sleeping watchdogs during another thunderstorm near abandoned railway stations"
     more = [(k, base.replace("seventeen", f"number{k}") + "\nshort line\n" + f"own words of document {k} " + "q" * k, "en", "x") for k in range(50, 58)]
     extra = spark.read.parquet(f"{DATA}/documents.parquet").selectExpr("doc_id + 1000 as doc_id", "text").limit(60)
-    frame = docs.select("doc_id", "text").union(spark.createDataFrame(more, SCHEMA).select("doc_id", "text")).union(extra).localCheckpoint()
+    frame = saved(docs.select("doc_id", "text").union(spark.createDataFrame(more, SCHEMA).select("doc_id", "text")).union(extra))
     seen = lines.occurrences(frame).collect()
     texts = {}
     for r in frame.withColumn("rid", lines.row_id()).collect():
