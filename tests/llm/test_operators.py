@@ -338,3 +338,27 @@ def test_subword(spark, docs, labels):
     known = spark.read.parquet(f"{sf}/labels.parquet")
     rows = subword.classify(spark.read.parquet(f"{sf}/documents.parquet"), known).join(known, "doc_id").where("held_out").toPandas()
     assert (rows["predicted"] == rows["quality"]).mean() > 0.9
+
+
+def _dropped(spark, texts):
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    return {r["doc_id"]: r["n_dropped"] for r in lines.dedup(frame).collect()}
+
+
+def test_lines_find_changed_words(spark):
+    """Pairs with one of n words (two of 20, five of 50) changed, by edit similarity alone."""
+    rng = np.random.default_rng(11)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 7))
+    texts = []
+    for n, changed in ((6, 1), (8, 1), (10, 1), (15, 1), (20, 1), (30, 1), (20, 2), (50, 5)):
+        for _ in range(40):
+            x = [word() for _ in range(n)]
+            y = list(x)
+            for at in rng.choice(n, changed, replace=False):
+                y[at] = word()
+            assert _edits(" ".join(x), " ".join(y)) <= 0.2 * (8 * n - 1)
+            texts += [" ".join(x), " ".join(y)]
+    got = _dropped(spark, texts)
+    assert not any(got[k] for k in range(0, len(texts), 2))
+    found = np.array([got[k] for k in range(1, len(texts), 2)]).reshape(8, 40).mean(axis=1)
+    assert found.min() >= 0.9 and found.mean() >= 0.98, found
