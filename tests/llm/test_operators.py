@@ -362,3 +362,11 @@ def test_lines_find_changed_words(spark):
     assert not any(got[k] for k in range(0, len(texts), 2))
     found = np.array([got[k] for k in range(1, len(texts), 2)]).reshape(8, 40).mean(axis=1)
     assert found.min() >= 0.9 and found.mean() >= 0.98, found
+
+
+def test_short_lines(spark):
+    """Exact repeats of short lines go; a script without spaces is compared by character n-grams."""
+    han = "".join(chr(0x4E00 + 37 * k) for k in range(60))
+    other = "".join(chr(0x6E00 + 41 * k) for k in range(60))
+    got = _dropped(spark, ["Read more", "read  more!", "Read mode", han, han[:30] + "X" + han[31:], other, "...", "..."])
+    assert got == {0: 0, 1: 1, 2: 0, 3: 0, 4: 1, 5: 0, 6: 0, 7: 0}
