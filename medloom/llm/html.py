@@ -1,8 +1,9 @@
 """Main text of web pages: site templates are found by counting element subtrees per host, and removed.
 
-Every element is hashed with all that is below it. Spark counts on how many pages of a host each subtree stands; those on many
-pages are the site's template and go. Page furniture that stands on one page only goes by its element or its class. Prose
-blocks of the article stay even when they recur: copied articles and quoted passages are text, not template.
+Every element is hashed with all that is below it. Spark counts on how many pages of a host each subtree stands; those on a large
+share of its pages are the site's template and go. Page furniture that stands on one page only goes by its element or its class.
+Prose blocks of the article, and whatever holds them, stay even when they recur: copied articles and quoted passages are text,
+not template.
 """
 
 from __future__ import annotations
@@ -19,8 +20,9 @@ from pyspark.sql import functions as F
 
 from medloom.llm.cluster import saved, small
 
-TEMPLATE_PAGES = 3  # pages of a host with the same subtree that make it template
-PROSE_PAGES = 5  # for prose outside an article also at least half of the host's pages
+TEMPLATE_PAGES = 3  # pages of a host with the same links that make them template, and at least TEMPLATE_PERCENT of its pages
+TEMPLATE_PERCENT = 10
+PROSE_PAGES = 5  # for anything with text outside links, also at least half of the host's pages
 
 # HTML element names by role.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -163,11 +165,16 @@ def roots(tree: Node) -> list[Node]:
 
 
 def candidates(tree: Node) -> dict[int, bool]:
-    """Subtrees that may be template: hash, and whether it is prose outside an article. Prose of the article is none."""
-    hashed(tree)
-    article = roots(tree)
+    """Subtrees that may be template: hash, and whether it has text outside links. None that holds prose of the article."""
+    said, prose = set(), set()  # nodes with text outside links; of these, those that are or hold prose elements
+    for node in hashed(tree):
+        if node.tag != "a" and node.tag not in RAW:
+            if any(id(c) in said if isinstance(c, Node) else c.strip() for c in node.children):
+                said.add(id(node))
+                if node.tag in PROSE or any(id(c) in prose for c in node.children):
+                    prose.add(id(node))
     inside = set()
-    for r in article:
+    for r in roots(tree):
         if r is not tree:
             inside.update(id(n) for n in hashed(r))
     out: dict[int, bool] = {}
@@ -175,21 +182,15 @@ def candidates(tree: Node) -> dict[int, bool]:
     while stack:
         node = stack.pop()
         stack += [c for c in node.children if isinstance(c, Node)]
-        if node.tag in ("#root", "html", "body", "main", "article") or id(node) in inside and node.tag not in BLOCK:
+        if node.tag in ("#root", "html", "body", "main", "article"):
+            continue
+        if id(node) in inside and (node.tag not in BLOCK or node.tag in PROSE or id(node) in prose):
             continue
-        prose = node.tag in PROSE or node.tag not in BLOCK
-        if not (prose and id(node) in inside) and not (id(node) in inside and _only_prose(node)):
-            out[node.hash] = out.get(node.hash, False) or prose
+        # an inline element is part of a sentence, even if all of it is a link
+        out[node.hash] = out.get(node.hash, False) or id(node) in said or node.tag in PROSE or node.tag not in BLOCK
     return out
 
 
-def _only_prose(node: Node) -> bool:
-    """A plain wrapper of paragraphs: no class, no links."""
-    if node.attributes.get("class") or node.attributes.get("id") or node.tag in ("ul", "ol", "menu"):
-        return False
-    return all(not isinstance(c, Node) or c.tag != "a" and _only_prose(c) for c in node.children)
-
-
 def extract(tree: Node, template: set[int]) -> str:
     """Text of the page's blocks, one per line, without furniture and without the template subtrees."""
     hashed(tree)
@@ -260,7 +261,8 @@ def templates(pages: DataFrame) -> DataFrame:
     counts = parts.groupBy("site", "hash").agg(F.count("*").alias("n"), F.max("prose").alias("prose"))
     sizes = trees.groupBy("site").agg(F.count("*").alias("total"))
     counts = counts.where(F.col("n") >= TEMPLATE_PAGES).join(sizes, "site")
-    often = counts.where(~F.col("prose") | ((F.col("n") >= PROSE_PAGES) & (2 * F.col("n") >= F.col("total"))))
+    links = ~F.col("prose") & (100 * F.col("n") >= TEMPLATE_PERCENT * F.col("total"))
+    often = counts.where(links | ((F.col("n") >= PROSE_PAGES) & (2 * F.col("n") >= F.col("total"))))
     hits = parts.join(small(saved(often.select("site", "hash"))), ["site", "hash"])
     return hits.groupBy("page").agg(F.collect_set("hash").alias("hashes"))  # bounded by the page's own elements
 

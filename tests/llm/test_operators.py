@@ -370,3 +370,18 @@ def test_short_lines(spark):
     other = "".join(chr(0x6E00 + 41 * k) for k in range(60))
     got = _dropped(spark, ["Read more", "read  more!", "Read mode", han, han[:30] + "X" + han[31:], other, "...", "..."])
     assert got == {0: 0, 1: 1, 2: 0, 3: 0, 4: 1, 5: 0, 6: 0, 7: 0}
+
+
+def test_html_copied_articles(spark):
+    """Articles under several urls of a host stay whole; what half of the host's pages share goes, and so do links."""
+    words = lambda k: " ".join(f"w{k}x{i}" for i in range(12))
+    menu = "<div class='zz'><a href=/a>A</a> <a href=/b>B</a></div>"
+    quote = "<div class='box'><p>boxed words <a href=/q>from here</a></p></div><ul><li>first point<li>second point</ul>"
+    whole = lambda k: f"{menu}<div class='content'><h2>Title {k}</h2><p>{words(k)}</p><div>bare {k}<br>text</div></div>"
+    inner = lambda k: f"<article><div class='content'>{menu}<p>{words(k)}</p>{quote}</div></article>"
+    rows = [(k, "http://e.example/p", whole(k // 3) + " " * k) for k in range(9)]
+    rows += [(20 + k, "http://f.example/p", inner(k // 3) + " " * k) for k in range(9)]
+    found = {r["page_id"]: r["text"] for r in html.main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    for k in range(9):
+        assert found[k] == f"Title {k // 3}\n{words(k // 3)}\nbare {k // 3} text"
+        assert found[20 + k] == f"{words(k // 3)}\nboxed words from here\nfirst point\nsecond point"
