@@ -260,6 +260,25 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     return encoded.mapInArrow(run, schema)
 
 
+def round_trip(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``decode(encode(docs))`` with one tokenizer a worker."""
+    fields = [f for f in docs.schema.fields if f.name in keep]
+    more = [T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType()), T.StructField("text", T.StringType())]
+    names = [f.name for f in fields]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = tokenizer(path)
+        for batch in _slices(batches):
+            ids = [t.encode(x.as_py()) for x in batch.column("_text")]
+            counts = pa.array([len(x) // 4 for x in ids], pa.int64())
+            texts = pa.array([t.decode(x) for x in ids], pa.string())
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(n) for n in names), counts, pa.array(ids, pa.binary()), texts], [*names, "n_tokens", "ids", "text"]
+            )
+
+    return docs.select(*names, docs["text"].alias("_text")).mapInArrow(run, T.StructType([*fields, *more]))
+
+
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256): encode, then decode the ids, and keep only the digests."""
     schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"

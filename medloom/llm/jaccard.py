@@ -36,7 +36,7 @@ _SALTS = [np.uint64(s) for s in (0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093
 class Sets:
     """Distinct shingles of the rows of a chunk: ``tokens[at[r]:at[r + 1]]``, ascending."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, size: int):
         w = X.words(X.LOWER[data], offsets)
         hashes, count = w.hashes(), w.count
         many = np.where(count >= size, count - size + 1, (count > 0).astype(np.int64))
@@ -67,8 +67,8 @@ class Sets:
         return out
 
 
-def _prefix_length(n: np.ndarray) -> np.ndarray:
-    return n - (PERCENT * n + 99) // 100 + 1
+def _prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
+    return n - (percent * n + 99) // 100 + 1
 
 
 def _isin(values: np.ndarray, table: np.ndarray) -> np.ndarray:
@@ -82,13 +82,13 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64), pa.int64())
 
 
-def _over_texts(docs: DataFrame, schema: str, make) -> DataFrame:
-    """``make(ids, sets)`` for every chunk of (doc_id, text)."""
+def _over_texts(docs: DataFrame, schema: str, make, size: int) -> DataFrame:
+    """``make(ids, sets)``, with shingles of ``size`` words, for every chunk of (doc_id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, to, data, offsets in X.chunks(batch.column("text")):
-                yield make(batch.column("doc_id").slice(at, to - at), Sets(data, offsets))
+                yield make(batch.column("doc_id").slice(at, to - at), Sets(data, offsets, size))
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
@@ -111,25 +111,25 @@ def _hot(tokens: DataFrame) -> np.ndarray:
     return np.sort(found.view(np.uint64))
 
 
-def _order(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+def _order(docs: DataFrame, size: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Frequent shingles: of the quarter of all shingles with the lowest hashes over all documents, and of the others over those
     documents that have too few rare ones in that quarter to fill their prefix."""
 
     def quarter(ids: pa.Array, s: Sets) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([_signed(s.tokens[s.tokens < _QUARTER])], ["token"])
 
-    low = _hot(_over_texts(docs, "token bigint", quarter))
+    low = _hot(_over_texts(docs, "token bigint", quarter, size))
     shared = docs.sparkSession.sparkContext.broadcast(low)
 
     def lacking(ids: pa.Array, s: Sets) -> pa.RecordBatch:
         rare = (s.tokens < _QUARTER) & ~_isin(s.tokens, shared.value)
-        short = s.per_row(np.add, rare.astype(np.int64)) < _prefix_length(s.n)
+        short = s.per_row(np.add, rare.astype(np.int64)) < _prefix_length(s.n, percent)
         return pa.RecordBatch.from_arrays([_signed(s.tokens[short[s.row] & (s.tokens >= _QUARTER)])], ["token"])
 
-    return low, _hot(_over_texts(docs, "token bigint", lacking))
+    return low, _hot(_over_texts(docs, "token bigint", lacking, size))
 
 
-def _prefixes(docs: DataFrame, low: np.ndarray, high: np.ndarray) -> DataFrame:
+def _prefixes(docs: DataFrame, low: np.ndarray, high: np.ndarray, size: int, percent: int) -> DataFrame:
     """(doc_id, n, own, k0.., prefix): size, shingles that are not frequent, minimum hashes, prefix in global order."""
     table = docs.sparkSession.sparkContext.broadcast(np.sort(np.concatenate([low, high])))
     schema = "doc_id bigint, n bigint, own bigint, " + "".join(f"k{i} bigint, " for i in range(KEYS)) + "prefix array<bigint>"
@@ -139,7 +139,7 @@ def _prefixes(docs: DataFrame, low: np.ndarray, high: np.ndarray) -> DataFrame:
         rank = np.where(hot, 2, (s.tokens >= _QUARTER).astype(np.int64))
         order = np.argsort(s.row * 3 + rank, kind="stable")
         place = np.arange(len(order)) - s.at[s.row]
-        length = np.where(s.n > 0, _prefix_length(s.n), 0)
+        length = np.where(s.n > 0, _prefix_length(s.n, percent), 0)
         kept = s.tokens[order][place < length[s.row]]
         ends = np.concatenate(([0], np.cumsum(length))).astype(np.int32)
         prefix = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), _signed(kept))
@@ -151,10 +151,10 @@ def _prefixes(docs: DataFrame, low: np.ndarray, high: np.ndarray) -> DataFrame:
         )
         return batch.filter(pa.array(s.n > 0))
 
-    return _over_texts(docs, schema, make)
+    return _over_texts(docs, schema, make, size)
 
 
-def verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def verify(pairs: DataFrame, docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """Add ``overlap`` and ``linked`` to (a, b) by comparing whole texts; only documents in a pair are read."""
     ids = small(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct())
     texts = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
@@ -165,14 +165,14 @@ def verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, to, data, offsets in X.chunks(batch.column("text_a")):
-                x = Sets(data, offsets)
-                y = Sets(*X.buffers(batch.column("text_b").slice(at, to - at)))
+                x = Sets(data, offsets, size)
+                y = Sets(*X.buffers(batch.column("text_b").slice(at, to - at)), size)
                 key = np.concatenate([x.tokens, y.tokens])
                 row = np.concatenate([x.row, y.row])
                 order = np.lexsort((key, row))
                 twice = (key[order[1:]] == key[order[:-1]]) & (row[order[1:]] == row[order[:-1]])
                 overlap = np.bincount(row[order[1:]][twice], minlength=to - at)
-                linked = 100 * overlap >= PERCENT * (x.n + y.n - overlap)
+                linked = 100 * overlap >= percent * (x.n + y.n - overlap)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("a").slice(at, to - at),
@@ -186,12 +186,12 @@ def verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "a bigint, b bigint, overlap bigint, linked boolean")
 
 
-def _reachable(nx, px, ny, py) -> np.ndarray:
+def _reachable(nx, px, ny, py, percent: int) -> np.ndarray:
     """Whether two sets whose first common shingle has these positions can reach the needed overlap."""
-    return 37 * np.minimum(nx - px, ny - py) >= 17 * (nx + ny)
+    return (100 + percent) * np.minimum(nx - px, ny - py) >= percent * (nx + ny)
 
 
-def _list_pairs(n, pos, doc, group, cut) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _list_pairs(n, pos, doc, group, cut, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs out of consecutive index lists (``cut`` marks where each starts), every list ascending by size."""
     length = np.diff(np.append(np.flatnonzero(cut), len(cut)))
     number = np.repeat(np.arange(len(length)), length)
@@ -199,7 +199,7 @@ def _list_pairs(n, pos, doc, group, cut) -> Iterator[tuple[np.ndarray, np.ndarra
     few = np.flatnonzero(~long)
     for step in range(1, min(32, int(length[length <= 32].max(initial=1)))):
         i, j = few[:-step], few[step:]
-        good = (number[i] == number[j]) & (group[i] != group[j]) & _reachable(n[i], pos[i], n[j], pos[j])
+        good = (number[i] == number[j]) & (group[i] != group[j]) & _reachable(n[i], pos[i], n[j], pos[j], percent)
         yield doc[i[good]], doc[j[good]]
     for k in np.flatnonzero(length > 32):
         rows = np.flatnonzero(number == k) if len(length) > 1 else np.arange(len(n))
@@ -210,19 +210,19 @@ def _list_pairs(n, pos, doc, group, cut) -> Iterator[tuple[np.ndarray, np.ndarra
             x = rows[starts[a] : starts[a] + BLOCK]
             for b in range(a, len(starts)):
                 # sizes ascend, so the needed overlap only grows from here on
-                if 37 * (most[a] - low[a]) < 17 * (least[a] + least[b]):
+                if (100 + percent) * (most[a] - low[a]) < percent * (least[a] + least[b]):
                     break
-                if 37 * min(most[a] - low[a], most[b] - low[b]) < 17 * (least[a] + least[b]):
+                if (100 + percent) * min(most[a] - low[a], most[b] - low[b]) < percent * (least[a] + least[b]):
                     continue
                 y = rows[starts[b] : starts[b] + BLOCK]
-                good = (group[x][:, None] != group[y]) & _reachable(n[x][:, None], pos[x][:, None], n[y], pos[y])
+                good = (group[x][:, None] != group[y]) & _reachable(n[x][:, None], pos[x][:, None], n[y], pos[y], percent)
                 if a == b:
                     good = np.triu(good, 1)
                 i, j = np.nonzero(good)
                 yield doc[x[i]], doc[y[j]]
 
 
-def list_pairs(lists: DataFrame, one_per_group: bool) -> DataFrame:
+def list_pairs(lists: DataFrame, one_per_group: bool, percent: int = PERCENT) -> DataFrame:
     """Distinct (a, b), a < b, of different groups that an index list cannot rule out.
 
     ``lists``: (token, n, pos, doc_id, grp). With ``one_per_group`` a list counts each group by its member of least position.
@@ -240,7 +240,7 @@ def list_pairs(lists: DataFrame, one_per_group: bool) -> DataFrame:
         token, n, pos, doc, group = token[order], n[order], pos[order], doc[order], group[order]
         cut = np.ones(len(token), bool)
         cut[1:] = token[1:] != token[:-1]
-        for i, j in _list_pairs(n, pos, doc, group, cut):
+        for i, j in _list_pairs(n, pos, doc, group, cut, percent):
             if len(i):
                 pair = np.unique(np.stack([np.minimum(i, j), np.maximum(i, j)]), axis=1)
                 yield pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1])], ["a", "b"])
@@ -269,7 +269,7 @@ def _grouped(lists: DataFrame, roots: DataFrame) -> DataFrame:
     return known.withColumn("grp", F.coalesce("root", "doc_id")).drop("root")
 
 
-def _answered(pairs: DataFrame, checked: DataFrame, sizes: DataFrame) -> DataFrame:
+def _answered(pairs: DataFrame, checked: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     """Pairs left after the leaders' answers: overlap(x, y) <= overlap(leader, y) + |x| - overlap(leader, x)."""
     own = checked.where("linked").select(F.col("a").alias("l"), F.col("b").alias("x"), "overlap").union(
         checked.where("linked").select("b", "a", "overlap")
@@ -286,21 +286,21 @@ def _answered(pairs: DataFrame, checked: DataFrame, sizes: DataFrame) -> DataFra
         out = out.join(told.alias("t"), (F.col("t.l") == F.col("q.l")) & (F.col("t.y") == F.col(f"p.{y}")), "left")
         out = out.join(s, F.col(f"p.{x}") == F.col("sx")).join(t, F.col(f"p.{y}") == F.col("sy"))
         bound = F.col("ly") + F.col("nx") - F.col("lx")
-        out = out.where(F.col("ly").isNull() | (37 * bound >= 17 * (F.col("nx") + F.col("ny")))).select("p.a", "p.b")
+        out = out.where(F.col("ly").isNull() | ((100 + percent) * bound >= percent * (F.col("nx") + F.col("ny")))).select("p.a", "p.b")
     return out
 
 
-def join(docs: DataFrame) -> DataFrame:
+def join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs``.
 
-    Words lower-cased in A-Z; sets of distinct 4-word shingles, of a shorter text its whole word sequence. Linked: Jaccard
-    similarity of at least 85 %. ``component_id`` is the least doc_id reachable by links, itself included. Null or empty texts
+    Words lower-cased in A-Z; sets of distinct shingles of ``size`` words, of a shorter text its whole word sequence. Linked: Jaccard
+    similarity of at least ``percent``. ``component_id`` is the least doc_id reachable by links, itself included. Null or empty texts
     have no shingles and no links. Rows that share a doc_id are one node; a null doc_id links with nothing and has a null
     component. An empty table gives no rows; other columns are ignored.
     """
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     known = plain.where("doc_id is not null")
-    slim = saved(_over_texts(plain, "doc_id bigint, n bigint, f1 bigint, f2 bigint", _fingerprints))
+    slim = saved(_over_texts(plain, "doc_id bigint, n bigint, f1 bigint, f2 bigint", _fingerprints, size))
     full = slim.where("n > 0 and doc_id is not null")
     first = full.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last"))
     first = first.where("rep <> last")
@@ -310,7 +310,7 @@ def join(docs: DataFrame) -> DataFrame:
         single = known.join(F.broadcast(copies.select("doc_id").distinct()), "doc_id", "left_anti")
     else:
         single = known
-    sets = saved(_prefixes(single, *_order(single)))
+    sets = saved(_prefixes(single, *_order(single, size, percent), size, percent))
     sizes = sets.select("doc_id", "n").groupBy("doc_id").agg(F.max("n").alias("n"))
 
     # leaders: of the sets that share a minimum hash, the one with the fewest shingles of its own
@@ -319,11 +319,11 @@ def join(docs: DataFrame) -> DataFrame:
         best = sets.groupBy(f"k{i}").agg(F.min(F.struct("own", "doc_id", "n")).alias("l"), F.count("*").alias("c"))
         near = sets.join(best.where("c > 1"), f"k{i}").where(
             (F.col("doc_id") != F.col("l.doc_id"))
-            & (100 * F.least("n", "l.n") >= PERCENT * F.greatest("n", "l.n"))
+            & (100 * F.least("n", "l.n") >= percent * F.greatest("n", "l.n"))
         )
         pairs = near.select(F.least("doc_id", "l.doc_id").alias("a"), F.greatest("doc_id", "l.doc_id").alias("b"))
         seen = pairs if seen is None else seen.union(pairs)
-    checked = saved(verify(saved(seen.distinct()), known))
+    checked = saved(verify(saved(seen.distinct()), known, size, percent))
 
     equal = copies.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     links = lambda: checked.where("linked").select("a", "b").union(equal)
@@ -334,15 +334,15 @@ def join(docs: DataFrame) -> DataFrame:
     lists = saved(token.withColumn("pos", F.col("pos").cast("long")).withColumn("alone", alone).where("not alone").drop("alone"))
     for step in range(ROUNDS + 1):
         last = step == ROUNDS
-        pairs = list_pairs(_grouped(lists, roots), one_per_group=not last).join(checked, ["a", "b"], "left_anti")
+        pairs = list_pairs(_grouped(lists, roots), one_per_group=not last, percent=percent).join(checked, ["a", "b"], "left_anti")
         if last:
-            pairs = _answered(pairs, checked, sizes)
+            pairs = _answered(pairs, checked, sizes, percent)
         pairs = saved(pairs)
         if pairs.isEmpty():
             if last:
                 break
             continue
-        new = saved(verify(pairs, known))
+        new = saved(verify(pairs, known, size, percent))
         checked = saved(checked.union(new))
         if not new.where("linked").isEmpty():
             roots = saved(components(links()))
