@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators and of the pipeline, over their whole tables."""
+"""Registered queries of the operators and of the pipeline, over their whole tables."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medloom.llm import ann, bpe, chat, html, jaccard, lines, lm, mixing, rules, subword
+from medloom.llm import ann, bpe, chat, html, jaccard, lines, lm, mixing, resample, rules, subword
 
 Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -131,3 +131,51 @@ def _lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_subword_classifier")
 def _subword(spark: SparkSession, sf_dir: str) -> DataFrame:
     return subword.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+# crc32 by its definition: a byte's remainder after eight halvings with the reversed polynomial, then byte by byte over a word
+RESAMPLE_SQL = r"""
+WITH RECURSIVE bytes AS (
+  SELECT b::BIGINT AS b, b::BIGINT AS r, 0 AS step FROM range(256) t(b)
+  UNION ALL
+  SELECT b, xor(r >> 1, CASE WHEN r % 2 = 1 THEN 3988292384 ELSE 0 END), step + 1 FROM bytes WHERE step < 8),
+remainders AS (SELECT list(r ORDER BY b) AS rs FROM bytes WHERE step = 8),
+found AS (
+  SELECT doc_id, row_number() OVER () AS rid, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM documents),
+asked AS (
+  SELECT regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM benchmark),
+of_doc AS (SELECT rid, unnest(ws) AS w FROM found),
+of_ask AS (SELECT unnest(ws) AS w FROM asked),
+spelled AS (SELECT w, hex(encode(w)) AS x FROM (SELECT w FROM of_doc UNION SELECT w FROM of_ask)),
+hashed AS (
+  SELECT w, xor(list_reduce(
+    list_transform(range(len(x) // 2), lambda i: ('0x' || substr(x, 2 * i + 1, 2))::BIGINT),
+    lambda c, b: xor(c >> 8, rs[xor(c & 255, b) + 1]), 4294967295), 4294967295) % 10000 AS bucket
+  FROM spelled, remainders),
+s AS (SELECT bucket, count(*) AS n FROM of_doc JOIN hashed USING (w) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM of_ask JOIN hashed USING (w) GROUP BY bucket),
+gains AS (
+  SELECT b AS bucket, floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM s) + 10000)::DOUBLE
+    / ((coalesce(s.n, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM t) + 10000)::DOUBLE)))::BIGINT AS gain
+  FROM range(10000) r(b) LEFT JOIN s ON s.bucket = b LEFT JOIN t ON t.bucket = b),
+weights AS (SELECT rid, sum(gain)::BIGINT AS weight FROM of_doc JOIN hashed USING (w) JOIN gains USING (bucket) GROUP BY rid),
+scored AS (
+  SELECT doc_id, len(ws)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+    (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5)::DOUBLE
+      / 4294967296.0::DOUBLE))))::BIGINT AS score
+  FROM found LEFT JOIN weights USING (rid)),
+ranked AS (
+  SELECT *, CASE WHEN n_features >= 20 THEN row_number() OVER (
+      PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS LAST, n_features) END AS place,
+    10 * (SELECT count(*) FROM scored WHERE n_features >= 20) // 100 AS drawn
+  FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= drawn THEN place END::BIGINT AS rank FROM ranked"""
+
+
+@register("op11_importance_resampling", RESAMPLE_SQL)
+def _resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
