@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medloom.llm import ann, bpe, chat, html, jaccard, lines, lm, mixing, resample, rules, subword
+from medloom.llm import align, ann, bpe, chat, html, jaccard, lines, lm, mixing, resample, rules, subword
 
 Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -18,11 +18,13 @@ VOCABULARY = "word_bpe_49k.json"
 
 def vocabulary_path() -> str:
     """Where the public tokenizer file lies on this machine; MEDLOOM_VOCABULARY overrides it."""
-    if "MEDLOOM_VOCABULARY" in os.environ:
-        return os.environ["MEDLOOM_VOCABULARY"]
+    return os.environ.get("MEDLOOM_VOCABULARY") or public_file(VOCABULARY)
+
+
+def public_file(name: str) -> str:
     import public_tokenizers
 
-    return str(public_tokenizers.path(VOCABULARY))
+    return str(public_tokenizers.path(name))
 
 
 def register(name: str, sql: str | None = None):
@@ -179,3 +181,8 @@ SELECT doc_id, n_features, weight, score, CASE WHEN place <= drawn THEN place EN
 @register("op11_importance_resampling", RESAMPLE_SQL)
 def _resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op12_tokenizer_alignment")
+def _align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.measure(table(spark, sf_dir, "documents"), public_file("byte_bpe_50k.json"), public_file("piece_bpe_32k.model"))
