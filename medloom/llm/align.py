@@ -73,13 +73,15 @@ class Csr:
         """(row, column, value) of the product's rows ``at`` to ``to``: each of a row's elements takes the other's row, equal columns add up."""
         to = self.rows if to is None else to
         lo, hi = self.indptr[at], self.indptr[to]
-        inner = self.indices[lo:hi]
+        inner, value = self.indices[lo:hi], self.values[lo:hi]
         row = np.repeat(np.arange(at, to), np.diff(self.indptr[at : to + 1]))
-        start, size = other.indptr[inner], other.indptr[inner + 1] - other.indptr[inner]
+        place, size = other.indptr[inner], other.indptr[inner + 1] - other.indptr[inner]
         total = int(size.sum())
-        place = np.arange(total) + np.repeat(start - np.concatenate(([0], np.cumsum(size)[:-1])), size) if total else np.zeros(0, np.int64)
-        key = np.repeat(row, size) * other.columns + other.indices[place]
-        value = np.repeat(self.values[lo:hi], size) * other.values[place]
+        if (size != 1).any():
+            place = np.arange(total) + np.repeat(place - (np.cumsum(size) - size), size)
+            row, value = np.repeat(row, size), np.repeat(value, size)
+        key = row * other.columns + other.indices[place]
+        value = value * other.values[place]
         if total and (key[1:] < key[:-1]).any():
             order = np.argsort(key, kind="stable")
             key, value = key[order], value[order]

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medloom.llm import align, ann, bpe, chat, html, jaccard, lines, lm, mixing, resample, rules, subword
+from medloom.llm import align, ann, bpe, chat, html, jaccard, lines, lm, minhash, mixing, resample, rules, subword
 
 Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -186,3 +186,8 @@ def _resample(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op12_tokenizer_alignment")
 def _align(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.measure(table(spark, sf_dir, "documents"), public_file("byte_bpe_50k.json"), public_file("piece_bpe_32k.model"))
+
+
+@register("op13_minhash_near_dedup")
+def _minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))

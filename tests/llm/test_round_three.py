@@ -5,12 +5,13 @@ import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from itertools import combinations
 
 import numpy as np
 import pytest
 import pyspark.sql.functions as F
 
-from medloom.llm import align, queries, resample
+from medloom.llm import align, minhash, queries, resample
 
 DATA = "/root/testdata/sf0.001"
 A = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty"
@@ -161,3 +162,62 @@ def test_overlaps_are_shared_bytes():
     assert list(zip(a.tolist(), b.tolist(), n.tolist())) == [(0, 0, 2), (0, 1, 1), (1, 1, 1), (2, 2, 1), (2, 3, 4)]
     of_a, of_b = align.groups(a, b, 3, 4)
     assert of_a.tolist() == [0, 0, 1] and of_b.tolist() == [0, 0, 1, 1]
+
+
+def _components(rows, size, percent):
+    """{doc_id: (component)} and the set size of each row, by comparing all pairs."""
+    word = re.compile(r"[^\x20\x09-\x0D]+")
+    sets = []
+    for _, text in rows:
+        w = word.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+        sets.append({tuple(w[i : i + size]) for i in range(len(w) - size + 1)} if len(w) >= size else ({tuple(w)} if w else set()))
+    root = {d: d for d, _ in rows if d is not None}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for (d, x), (e, y) in combinations([(d, s) for (d, _), s in zip(rows, sets) if d is not None and s], 2):
+        if d != e and 100 * min(len(x), len(y)) >= percent * max(len(x), len(y)) and 100 * len(x & y) >= percent * len(x | y):
+            a, b = sorted((find(d), find(e)))
+            root[b] = a
+    return [(d, len(s), None if d is None else find(d), d is None or find(d) == d) for (d, _), s in zip(rows, sets)]
+
+
+@pytest.mark.parametrize("size,percent", [(5, 85), (3, 80)])
+def test_minhash(spark, docs, size, percent):
+    rng = np.random.default_rng(8)
+    word = lambda: "".join(rng.choice(list("abcdefghij"), 6))
+    base = [word() for _ in range(120)]
+    more = []
+    for k in range(120):  # copies of one text with one to ten changed words; many are linked with others only through it
+        x = list(base)
+        for at in rng.choice(120, rng.integers(0, 4), replace=False):
+            x[at] = word()
+        more.append((7000 + k, " ".join(x)))
+    # one id, two texts: each links the document with another one
+    other = " ".join(word() for _ in range(60))
+    more += [(8000, other), (8001, other + " end"), (8001, " ".join(base) + " end"), (8002, other)]
+    frame = docs.select("doc_id", "text", "kept", "n").union(spark.createDataFrame([(d, t, "", "") for d, t in more], "doc_id bigint, text string, kept string, n string"))
+    rows = [(r["doc_id"], r["text"]) for r in frame.collect()]
+    want = _components(rows, size, percent)
+    got = minhash.near_duplicates(frame, size, percent).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+    assert 5 < len({c for d, _, c, _ in want if d and d >= 7000}) < 100
+    assert minhash.near_duplicates(frame.limit(0)).count() == 0
+
+
+def test_tensored_tables_miss_few():
+    """Pairs at the threshold share a key: hardly one in ten thousand is missed, also with few shingles."""
+    rng = np.random.default_rng(4)
+    missed = 0
+    for n in (40, 400):
+        same = round(n * 2 * 0.85 / 1.85)
+        for _ in range(300):
+            tokens = rng.integers(0, 1 << 63, 2 * n - same, dtype=np.uint64)
+            x, y = tokens[:n], tokens[n - same :]
+            least = [[(z * f).min() for f in minhash._FACTORS] for z in (x, y)]
+            equal = (np.array(least[0]) == np.array(least[1])).reshape(2, minhash.BLOCKS, minhash.BAND).all(axis=2).any(axis=1)
+            missed += not equal.all()
+    assert missed <= 1
