@@ -6,8 +6,10 @@ would take BLOCKS * BLOCKS * 2 * BAND by itself. A pair of similarity s is misse
 2e-5 at 0.85. A key is shared only if both its blocks are, so blocks held by one set go before keys are formed.
 
 Equal sets are one from the start. Of the sets with one key all meet the one whose blocks are the most common (the middle of a
-group of copies); what this leaves outside the leader's component meets the others of the key. Candidates agree in nearly as many
-minimum hashes as linked pairs do (six standard deviations less), and all are then confirmed on the full shingle sets.
+group of copies); what this leaves outside the leader's component meets the others of the key, each pair at its first common key.
+Candidates agree in nearly as many minimum hashes as linked pairs do (six standard deviations less), and the parities of their
+shingles in PARITIES cells differ no more than the shingles themselves may (a bound, nothing is lost by it). All are then confirmed
+on the full shingle sets.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ BLOCKS = 12  # hash blocks of each of the two collections
 BAND = 3  # minimum hashes of a block
 MINIMA = 2 * BLOCKS * BAND
 LONGS = MINIMA // 8  # a byte of every minimum hash, eight to a number
+PARITIES = 576  # cells whose parity of shingles is kept, 64 to a number
+SKETCH = [*(f"s{k}" for k in range(LONGS)), *(f"o{k}" for k in range(PARITIES // 64))]
 _FACTORS = np.random.default_rng(20240613).integers(0, 1 << 63, MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SALT = np.uint64(0x9FB21C651E98DF25)
 
@@ -51,11 +55,12 @@ def minima(s: Sets) -> Iterator[np.ndarray]:
 
 
 def signatures(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, n, sid, s0.., u, v) of every row: set size, set number, a byte of each minimum hash, block hashes of both collections.
+    """(doc_id, n, sid, s0.., o0.., u, v) of every row: set size, set number, a byte of each minimum hash, parities, block hashes of
+    both collections.
 
     The lowest bit of a block hash tells its collection.
     """
-    names = ["doc_id", "n", "sid", *(f"s{k}" for k in range(LONGS)), "u", "v"]
+    names = ["doc_id", "n", "sid", *SKETCH, "u", "v"]
     schema = ", ".join(f"{c} {'array<bigint>' if c in 'uv' else 'bigint'}" for c in names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -71,10 +76,12 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
                     block[:] = X.mix(block * np.uint64(0xD6E8FEB86659FD93) + least + np.uint64(k))
                 blocks[:, :BLOCKS] &= ~np.uint64(1)
                 blocks[:, BLOCKS:] |= np.uint64(1)
-                longs = packed.view(np.uint64).reshape(rows, LONGS)
+                cells = np.bincount(s.row * PARITIES + (s.tokens % np.uint64(PARITIES)).astype(np.int64), minlength=rows * PARITIES)
+                odd = np.packbits((cells & 1).astype(bool)).reshape(rows, PARITIES // 8)
+                longs = np.concatenate([packed, odd], axis=1).view(np.uint64)
                 ends = pa.array(np.arange(rows + 1, dtype=np.int32) * BLOCKS)
                 halves = [pa.ListArray.from_arrays(ends, _signed(h.reshape(-1))) for h in (blocks[:, :BLOCKS], blocks[:, BLOCKS:])]
-                columns = [pa.array(s.n, pa.int64()), _signed(_identity(s)), *(_signed(longs[:, k]) for k in range(LONGS)), *halves]
+                columns = [pa.array(s.n, pa.int64()), _signed(_identity(s)), *(_signed(longs[:, k]) for k in range(len(SKETCH))), *halves]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, rows), *columns], names)
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
@@ -85,8 +92,16 @@ def _least_agreeing(percent: int) -> int:
     return max(0, math.floor(MINIMA * p - 6 * math.sqrt(MINIMA * p * (1 - p))))
 
 
-def _plausible(x: str, y: str, percent: int) -> Column:
-    """Sizes allow the similarity, and enough minimum hashes agree."""
+def _near_parity(x: str, y: str, percent: int) -> Column:
+    """Sizes and parities allow the similarity."""
+    a, b = F.col(f"{x}.n"), F.col(f"{y}.n")
+    apart = sum(F.bit_count(F.col(f"{x}.o{k}").bitwiseXOR(F.col(f"{y}.o{k}"))) for k in range(PARITIES // 64))
+    least = F.expr(f"({percent} * ({x}.n + {y}.n) + {99 + percent}) div {100 + percent}")  # shingles that linked sets share
+    return (100 * F.least(a, b) >= percent * F.greatest(a, b)) & (apart <= a + b - 2 * least)
+
+
+def _agreeing(x: str, y: str, percent: int) -> Column:
+    """Enough minimum hashes agree."""
     differing = None
     for k in range(LONGS):
         d = F.col(f"{x}.s{k}").bitwiseXOR(F.col(f"{y}.s{k}"))
@@ -94,8 +109,7 @@ def _plausible(x: str, y: str, percent: int) -> Column:
             d = d.bitwiseOR(F.shiftrightunsigned(d, step))
         count = F.bit_count(d.bitwiseAND(F.lit(0x0101010101010101)))
         differing = count if differing is None else differing + count
-    a, b = F.col(f"{x}.n"), F.col(f"{y}.n")
-    return (100 * F.least(a, b) >= percent * F.greatest(a, b)) & (differing <= MINIMA - _least_agreeing(percent))
+    return differing <= MINIMA - _least_agreeing(percent)
 
 
 def _texts(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
@@ -155,11 +169,11 @@ def links(docs: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFram
     """(a, b) of linked sets, enough of them to hold every component together."""
     table = saved(keys(sets))
     lead = saved(table.groupBy("key").agg(F.max(F.struct("fame", "sid")).alias("l"), F.count("*").alias("c")).where("c > 1").select("key", "l.sid"))
-    narrow = sets.select("sid", "n", *(f"s{k}" for k in range(LONGS)))
+    narrow = sets.select("sid", "n", *SKETCH)
 
     def plausible(pairs: DataFrame) -> DataFrame:
         both = pairs.join(narrow.alias("x"), F.col("a") == F.col("x.sid")).join(narrow.alias("y"), F.col("b") == F.col("y.sid"))
-        return both.where(_plausible("x", "y", percent)).select("a", "b")
+        return both.where(_near_parity("x", "y", percent) & _agreeing("x", "y", percent)).select("a", "b")
 
     meet = table.alias("t").join(lead.alias("l"), "key").where("t.sid <> l.sid").select(F.col("l.sid").alias("a"), F.col("t.sid").alias("b"))
     pairs = saved(plausible(meet.distinct()))
@@ -177,11 +191,21 @@ def links(docs: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFram
     rooted = known(table.select("key", "sid")).select("key", "sid", F.coalesce("r.root", "sid").alias("root"))
     leaders = known(lead).select("key", F.coalesce("r.root", "sid").alias("lead"))
     rooted = saved(rooted.join(leaders, "key"))
-    odd = rooted.where("root <> lead")
-    rest = odd.alias("o").join(rooted.alias("m"), "key").where("o.root <> m.root and (m.root = m.lead or o.sid < m.sid)")
-    rest = rest.select(F.col("m.sid").alias("a"), F.col("o.sid").alias("b")).distinct()
+    mixed = saved(rooted.where("root <> lead").select("key").distinct())
+    rooted = saved(rooted.join(mixed, "key", "left_semi").join(sets.select("sid", "n", *SKETCH, "u", "v"), "sid"))
+    odd, every = rooted.where("root <> lead").alias("o"), rooted.alias("m")
+    first = F.xxhash64(*(F.get(F.array_intersect(f"o.{c}", f"m.{c}"), F.lit(0)) for c in "uv"))
+    rest = odd.join(
+        every,
+        (F.col("o.key") == F.col("m.key"))
+        & F.expr("o.root <> m.root and (m.root = m.lead or o.sid < m.sid)")
+        & _near_parity("o", "m", percent)
+        & (first == F.col("o.key")),
+    )
+    rest = rest.select(F.col("m.sid").alias("a"), F.col("o.sid").alias("b"))
     done = checked.select("a", "b").union(checked.select("b", "a"))
-    rest = saved(plausible(rest).join(done, ["a", "b"], "left_anti"))
+    # found at one key as (odd, leader's) and at another as (odd, odd), a pair may come twice
+    rest = saved(plausible(rest.join(done, ["a", "b"], "left_anti").distinct()))
     if rest.isEmpty():
         return found
     return found.union(confirmed(rest).where("linked").select("a", "b"))
@@ -199,7 +223,7 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = saved(signatures(plain, size))
     full = rows.where("n > 0 and doc_id is not null")
-    wide = ["n", *(f"s{k}" for k in range(LONGS)), "u", "v"]
+    wide = ["n", *SKETCH, "u", "v"]
     sets = saved(full.groupBy("sid").agg(F.min("doc_id").alias("rep"), *(F.first(c).alias(c) for c in wide)))
     found = links(plain.where("doc_id is not null"), sets, size, percent)
     # sets of one document hang together

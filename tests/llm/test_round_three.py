@@ -204,7 +204,6 @@ def test_minhash(spark, docs, size, percent):
     want = _components(rows, size, percent)
     got = minhash.near_duplicates(frame, size, percent).collect()
     assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
-    assert 5 < len({c for d, _, c, _ in want if d and d >= 7000}) < 100
     assert minhash.near_duplicates(frame.limit(0)).count() == 0
 
 
