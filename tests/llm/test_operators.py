@@ -244,16 +244,16 @@ def test_lines(spark, docs):
         if r["text"] is not None:
             for i, x in enumerate(r["text"].split("\n")):
                 texts[r["rid"], i] = " ".join(w for w in re.split(r"[\s!-/:-@\[-`{-~]+", x.lower()) if w)
-    sims = {r["h"]: r["sim"] & (1 << 64) - 1 for r in seen}
+    least = {r["h"]: [r[f"q{k // 4}"] >> 16 * (k % 4) & 0xFFFF for k in range(lines.MINIMA)] for r in seen if r["q0"] is not None}
     words = {r["h"]: texts[r["rid"], r["line_no"]] for r in seen}
-    part = lambda s, at, width: s >> at & (1 << width) - 1
     links = []
-    for a, b in combinations(sims, 2):
-        x, y = sims[a], sims[b]
-        if (x ^ y).bit_count() <= lines.BITS and sum(part(x, *k) == part(y, *k) for k in lines.BLOCKS) >= 2:
+    for a, b in combinations(least, 2):
+        same = [x == y for x, y in zip(least[a], least[b])]
+        if sum(same) >= lines.AGREE and any(all(same[k] for k in band) for band in lines.BANDS[: 16 if max(len(words[a]), len(words[b])) < lines.LONG else lines.LONG_BANDS]):
             longer = max(len(words[a]), len(words[b]))
             if _edits(words[a], words[b]) <= longer * (100 - lines.SIMILARITY_PERCENT) // 100:
                 links.append((a, b))
+    sims = dict.fromkeys(r["h"] for r in seen)
     root = _roots(sims, links)
     assert links
     order = lambda r: (r["doc_id"] is not None, r["doc_id"] or 0, r["rid"], r["line_no"])
@@ -261,7 +261,8 @@ def test_lines(spark, docs):
     for r in sorted(seen, key=order):
         first.setdefault(root[r["h"]], (r["rid"], r["line_no"]))
     gone = {(r["rid"], r["line_no"]) for r in seen if first[root[r["h"]]] != (r["rid"], r["line_no"])}
-    got = lines.dedup(frame.withColumn("extra", F.lit(1)).withColumn("rid", lines.row_id())).collect()
+    clash = {c: F.lit(1) for c in ("row", "gone", "_rid", "_gone", "h", "key", "root", "line_no", "n_lines", "k", "o")}
+    got = lines.dedup(frame.withColumns(clash).withColumn("rid", lines.row_id())).collect()
     assert len(got) == frame.count()
     before = {(r["doc_id"], r["rid"]): r["text"] for r in frame.withColumn("rid", lines.row_id()).collect()}
     for r in got:
