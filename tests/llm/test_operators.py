@@ -245,11 +245,14 @@ def test_lines(spark, docs):
             for i, x in enumerate(r["text"].split("\n")):
                 texts[r["rid"], i] = " ".join(w for w in re.split(r"[\s!-/:-@\[-`{-~]+", x.lower()) if w)
     least = {r["h"]: [r[f"q{k // 4}"] >> 16 * (k % 4) & 0xFFFF for k in range(lines.MINIMA)] for r in seen if r["q0"] is not None}
+    sketch = {r["h"]: (r["p0"] & (1 << 64) - 1, r["p1"] & (1 << 64) - 1, r["c"]) for r in seen if r["q0"] is not None}
     words = {r["h"]: texts[r["rid"], r["line_no"]] for r in seen}
     links = []
     for a, b in combinations(least, 2):
         same = [x == y for x, y in zip(least[a], least[b])]
-        if sum(same) >= lines.AGREE and any(all(same[k] for k in band) for band in lines.BANDS[: 16 if max(len(words[a]), len(words[b])) < lines.LONG else lines.LONG_BANDS]):
+        p, q = sketch[a], sketch[b]
+        apart = max((x ^ y).bit_count() for x, y in zip(p[:2], q[:2]))
+        if 4 * apart <= p[2] + q[2] and any(all(same[k] for k in band) for band in lines.BANDS[: 16 if max(len(words[a]), len(words[b])) < lines.LONG else lines.LONG_BANDS]):
             longer = max(len(words[a]), len(words[b]))
             if _edits(words[a], words[b]) <= longer * (100 - lines.SIMILARITY_PERCENT) // 100:
                 links.append((a, b))
