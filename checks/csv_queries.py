@@ -43,16 +43,16 @@ def with_(*parts: str) -> str:
 
 
 def runs(name: str, source: str, keys: str, start: str, end: str, pad: int) -> str:
-    """Ordinal form of interval merging: a run ends where starts so far are half of all marks so far."""
+    """Ends of merged intervals, by a sweep over days: a run ends on a day after which no interval (longer by ``pad``) is open."""
     return f"""
-{name}_marks AS (
-  SELECT {keys}, {start} AS d, 0 AS k FROM {source}
-  UNION ALL SELECT {keys}, {end} + {pad}, 1 FROM {source}),
+{name}_days AS (
+  SELECT {keys}, day, sum(step) AS step FROM (
+    SELECT {keys}, {start} AS day, 1 AS step FROM {source} UNION ALL SELECT {keys}, {end} + {pad}, -1 FROM {source})
+  WHERE day IS NOT NULL GROUP BY {keys}, day),
 {name}_ends AS (
-  SELECT {keys}, d - {pad} AS run_end FROM (
-    SELECT {keys}, d, k, count(CASE WHEN k = 0 THEN 1 END) OVER w AS s, count(*) OVER w AS n FROM {name}_marks
-    WINDOW w AS (PARTITION BY {keys} ORDER BY d, k ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
-  WHERE s > 0 AND 2 * s = n)"""
+  SELECT {keys}, day - {pad} AS run_end FROM (
+    SELECT *, sum(step) OVER (PARTITION BY {keys} ORDER BY day) AS still_open FROM {name}_days)
+  WHERE still_open = 0)"""
 
 
 VISITS = f"""

@@ -206,6 +206,16 @@ register(
     + "SELECT 'c-' || lid AS id, std AS std_concept_id, dom AS std_domain FROM hits "
     "WHERE dom NOT IN ('Condition', 'Procedure', 'Measurement', 'Observation')",
 )
+_ROUTES = ("Condition", "Procedure", "Measurement", "Observation")
+register(
+    "family_route_counts",
+    lambda spark, sf_dir: V.route_counts(context(spark, sf_dir, "Condition").family("condition"), _ROUTES),
+    with_(WITH_MAPS, LINE, BOTH, CONDITION_HITS)
+    + "SELECT r.route, count(h.dom) AS n, count(DISTINCT h.lid || '|' || h.std) AS row_keys "
+    "FROM (SELECT unnest(['Condition', 'Procedure', 'Measurement', 'Observation', 'unrouted']) AS route) r LEFT JOIN hits h "
+    "ON CASE WHEN h.dom IN ('Condition', 'Procedure', 'Measurement', 'Observation') THEN h.dom ELSE 'unrouted' END = r.route "
+    "GROUP BY r.route",
+)
 register(
     "view_condition",
     view(

@@ -1,7 +1,9 @@
 """Joins and picks that hold when one key owns a large share of the rows.
 
 * A lookup side is broadcast only after its rows were counted against a limit.
-* Beyond the limit the lookup side is repeated ``salt`` times and the row side spread over the copies.
+* Beyond the limit it is first cut to the keys that the rows hold (distinct keys are few even where rows are many), written out
+  and counted again: rows then meet a narrow dictionary and are not shuffled.
+* Only where that dictionary is too large as well, it is repeated ``salt`` times and the row side spread over the copies.
 * Between two large sides only the hot keys are spread; there are at most rows / hotKeyRows of them.
 """
 
@@ -39,15 +41,28 @@ def lookup_join(
     """Join rows to a lookup table on equally named columns."""
     if small if small is not None else S.fits_broadcast(right):
         return left.join(F.broadcast(right), list(on), how)
+    held = dictionary(left, right, on)
+    if S.fits_broadcast(held):
+        return left.join(F.broadcast(held), list(on), how)
     spark = left.sparkSession
     copies = S.conf_int(spark, S.SALT_FACTOR_CONF, S.SALT_FACTOR_DEFAULT)
     # Rows without a key match nothing, so they need no copy and may go anywhere.
     anywhere = _row_salt(left, copies * 1000) + F.lit(copies)
     salted = left.withColumn("_salt", F.when(_any_null(on), anywhere).otherwise(_row_salt(left, copies)))
-    repeated = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+    repeated = held.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
 
 
+def dictionary(rows: DataFrame, lookup: DataFrame, on: Sequence[str]) -> DataFrame:
+    """The part of a large lookup table whose keys occur in ``rows``, written to the shared folder.
+
+    Each key is looked up once, however many rows hold it: keys are made distinct per task before they are shuffled, and only
+    the key columns of ``rows`` are read. NULL keys match nothing and are left out.
+    """
+    keys = rows.select(*on).where(~_any_null(on)).distinct()
+    return S.written(lookup.join(keys, list(on), "left_semi"))
+
+
 def _equi(
     left: DataFrame, right: DataFrame, on: Sequence[str], how: str, residual: Column | None
 ) -> DataFrame:

@@ -282,6 +282,23 @@ def unrouted(resolved: DataFrame, domains: Sequence[str]) -> DataFrame:
     return resolved.where(~F.col("std_domain").isin(*domains))
 
 
+def route_counts(resolved: DataFrame, domains: Sequence[str]) -> DataFrame:
+    """(route, n, row_keys) of a family: rows and distinct (id, standard concept) of each route and of ``unrouted``.
+
+    The routes' rows add up to the family's: a row that two routes took, or none, shows. Routes without a row count 0.
+    """
+    routes = [route(resolved, d).select(F.lit(d).alias("route"), "id", "std_concept_id") for d in domains]
+    # a NULL domain belongs to no route either
+    left = resolved.where(~F.coalesce(F.col("std_domain").isin(*domains), F.lit(False)))
+    rows = reduce(DataFrame.unionByName, [*routes, left.select(F.lit("unrouted").alias("route"), "id", "std_concept_id")])
+    counted = rows.groupBy("route").agg(
+        F.count("*").alias("n"), F.count_distinct(F.concat_ws("|", "id", "std_concept_id")).alias("row_keys")
+    )
+    every = resolved.sparkSession.createDataFrame([(d,) for d in (*domains, "unrouted")], "route string")
+    counted = every.join(counted, "route", "left")
+    return counted.select("route", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("row_keys", F.lit(0)).alias("row_keys"))
+
+
 # --- value sets -----------------------------------------------------------------------------------
 
 # Concept ids of the race and ethnicity value sets.
