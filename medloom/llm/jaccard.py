@@ -26,7 +26,6 @@ PERCENT = 85
 KEYS = 4  # minimum hashes that look for leaders
 HOT = 64  # shingles in more sets than this are put last
 MOST_HOT = 1_000_000  # bound on the shingles put last; HOT is doubled until they fit
-MOST_COPIES = 200_000
 BLOCK = 256
 ROUNDS = 3
 _QUARTER = np.uint64(1 << 62)
@@ -305,11 +304,11 @@ def join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFr
     first = full.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last"))
     first = first.where("rep <> last")
     copies = saved(full.join(first, ["n", "f1", "f2"]).where("doc_id <> rep").select("doc_id", "rep").distinct())
-    # copies need no index entries of their own; if there are too many to send around, they stay and their group answers
-    if copies.limit(MOST_COPIES + 1).count() <= MOST_COPIES:
-        single = known.join(F.broadcast(copies.select("doc_id").distinct()), "doc_id", "left_anti")
-    else:
-        single = known
+    # copies need no index entries of their own, unless their id has another set as well
+    one = F.struct("n", "f1", "f2")
+    several = saved(full.groupBy("doc_id").agg(F.min(one).alias("x"), F.max(one).alias("y")).where("x <> y").select("doc_id"))
+    told = saved(copies.select("doc_id").distinct().join(several, "doc_id", "left_anti"))
+    single = known.join(small(told), "doc_id", "left_anti")
     sets = saved(_prefixes(single, *_order(single, size, percent), size, percent))
     sizes = sets.select("doc_id", "n").groupBy("doc_id").agg(F.max("n").alias("n"))
 
@@ -336,7 +335,10 @@ def join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFr
         last = step == ROUNDS
         pairs = list_pairs(_grouped(lists, roots), one_per_group=not last, percent=percent).join(checked, ["a", "b"], "left_anti")
         if last:
-            pairs = _answered(pairs, checked, sizes, percent)
+            # a leader's answer speaks for one set of an id, so ids of several sets are compared themselves
+            own = small(several)
+            kept = pairs.join(own, F.col("a") == F.col("doc_id"), "left_semi").union(pairs.join(own, F.col("b") == F.col("doc_id"), "left_semi"))
+            pairs = _answered(pairs, checked, sizes, percent).union(kept).distinct()
         pairs = saved(pairs)
         if pairs.isEmpty():
             if last:

@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 import pyspark.sql.functions as F
 
-from medloom.llm import align, minhash, queries, resample
+from medloom.llm import align, jaccard, minhash, queries, resample
 
 DATA = "/root/testdata/sf0.001"
 A = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty"
@@ -220,3 +220,15 @@ def test_tensored_tables_miss_few():
             equal = (np.array(least[0]) == np.array(least[1])).reshape(2, minhash.BLOCKS, minhash.BAND).all(axis=2).any(axis=1)
             missed += not equal.all()
     assert missed <= 1
+
+
+def test_jaccard_ids_with_several_texts(spark):
+    """A copy's id that has a second text keeps that text's links."""
+    rng = np.random.default_rng(6)
+    text = lambda: [f"w{k}" for k in rng.integers(0, 1 << 30, 80)]
+    a, b, c = text(), text(), text()
+    rows = [(1, a), (2, a), (2, b), (3, [*b, "end"]), (4, c), (5, c), (5, [*c, "end"]), (6, [*b, "end"]), (7, text())]
+    frame = spark.createDataFrame([(d, " ".join(t)) for d, t in rows], "doc_id bigint, text string")
+    for join in (jaccard.join, minhash.near_duplicates):
+        got = {(r["doc_id"], r["component_id"]) for r in join(frame).collect()}
+        assert got == {(1, 1), (2, 1), (3, 1), (6, 1), (4, 4), (5, 4), (7, 7)}, join
