@@ -4,7 +4,8 @@
 * Beyond the limit it is first cut to the keys that the rows hold (distinct keys are few even where rows are many), written out
   and counted again: rows then meet a narrow dictionary and are not shuffled.
 * Only where that dictionary is too large as well, it is repeated ``salt`` times and the row side spread over the copies.
-* Between two large sides only the hot keys are spread; there are at most rows / hotKeyRows of them.
+* Between two large sides only the hot keys are spread; there are at most rows / hotKeyRows of them. A side is written once
+  before its keys are counted, so counting reads the key columns of a table and nothing below it runs again.
 """
 
 from __future__ import annotations
@@ -73,36 +74,83 @@ def _equi(
     return left.join(renamed, same & residual, how).drop(*["_r_" + k for k in on])
 
 
+def _place_salt(copies: int) -> Column:
+    """A copy number by the row's place in a written table: the same in every attempt, and different for equal rows."""
+    return F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(copies)).cast("int")
+
+
+def _hot_keys(df: DataFrame, on: Sequence[str], flag: str) -> DataFrame:
+    """Keys with more rows than the limit; at most rows / limit of them, which bounds their broadcast."""
+    limit = S.conf_int(df.sparkSession, S.HOT_KEY_ROWS_CONF, S.HOT_KEY_ROWS_DEFAULT)
+    counts = df.where(~_any_null(on)).groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.where(F.col("_n") > limit).select(*on, F.lit(True).alias(flag))
+
+
 def keyed_join(
     left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner", residual: Column | None = None
 ) -> DataFrame:
-    """Join two large sides on equally named columns (and a residual test). Small inputs join plainly."""
-    if not S.may_be_skewed(left):
+    """Join two large sides on equally named columns (and a residual test). Small inputs join plainly.
+
+    A key that is hot on the left has its left rows spread over copies of its right rows. In inner joins a key that is hot on
+    the right alone is spread the other way round; outer and semi joins must see each left row once, so they leave it.
+    """
+    both_ways = how == "inner" and S.may_be_skewed(right)
+    if not both_ways and not S.may_be_skewed(left):
         return _equi(left, right, on, how, residual)
-    spark = left.sparkSession
-    copies = S.conf_int(spark, S.SALT_FACTOR_CONF, S.SALT_FACTOR_DEFAULT)
-    hot_rows = S.conf_int(spark, S.HOT_KEY_ROWS_CONF, S.HOT_KEY_ROWS_DEFAULT)
-    # At most rows / hot_rows keys pass, which bounds the broadcast.
-    hot = (
-        left.where(~_any_null(on))
-        .groupBy(*on)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > hot_rows)
-        .select(*on, F.lit(True).alias("_hot"))
-    )
-    salt = (
-        F.when(F.col("_hot"), _row_salt(left, copies))
-        .when(_any_null(on), _row_salt(left, copies * 1000) + F.lit(copies))
-        .otherwise(F.lit(0))
+    copies = S.conf_int(left.sparkSession, S.SALT_FACTOR_CONF, S.SALT_FACTOR_DEFAULT)
+    left = S.written(left)
+    hot = _hot_keys(left, on, "_hot")
+    if both_ways:
+        right = S.written(right)
+        hot = hot.join(_hot_keys(right, on, "_hot_right"), list(on), "full")
+    else:
+        hot = hot.withColumn("_hot_right", F.lit(None).cast("boolean"))
+    hot = S.written(hot)
+    every = F.sequence(F.lit(0), F.lit(copies - 1))
+    own, one = F.array(_place_salt(copies)), F.array(F.lit(0))
+    anywhere = F.array(_place_salt(copies * 1000) + F.lit(copies))
+
+    def spread(side: DataFrame, salts: Column) -> DataFrame:
+        marked = side.withColumns({"_own": own, "_anywhere": anywhere}).join(F.broadcast(hot), list(on), "left")
+        return marked.withColumn("_salt", F.explode(salts)).drop("_hot", "_hot_right", "_own", "_anywhere")
+
+    salted = spread(
+        left,
+        F.when(F.col("_hot"), F.col("_own"))
+        .when(F.col("_hot_right"), every)
+        .when(_any_null(on), F.col("_anywhere"))
+        .otherwise(one),
     )
-    salted = left.join(F.broadcast(hot), list(on), "left").withColumn("_salt", salt).drop("_hot")
-    every = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(copies - 1))).otherwise(F.array(F.lit(0)))
-    repeated = right.join(F.broadcast(hot), list(on), "left").withColumn("_salt", F.explode(every)).drop("_hot")
+    if both_ways:
+        right_salts = F.when(F.col("_hot"), every).when(F.col("_hot_right"), F.col("_own")).otherwise(one)
+        repeated = spread(right, right_salts)
+    else:
+        repeated = right.join(F.broadcast(hot), list(on), "left").withColumn(
+            "_salt", F.explode(F.when(F.col("_hot"), every).otherwise(one))
+        ).drop("_hot", "_hot_right")
     return _equi(salted, repeated, [*on, "_salt"], how, residual).drop("_salt")
 
 
-def _bin(day: Column, width: int) -> Column:
-    return F.floor(F.unix_date(day) / F.lit(width)).cast("int")
+# Levels of dyadic blocks: 2**23 days reach from the year 1 beyond the year 9999.
+_LEVELS = 23
+
+
+def period_blocks(start: Column, end: Column) -> Column:
+    """The fewest dyadic blocks of days (level, block) that cover a period, both ends included: at most two a level.
+
+    Block number b of level k holds the days b * 2**k to (b + 1) * 2**k - 1. At level k only a block at the left end
+    with an odd number, or one before an odd right bound, is not part of a larger block that also lies inside.
+    """
+    first, past = F.unix_date(start), F.unix_date(end) + 1
+    found = []
+    for level in range(_LEVELS):
+        low = -F.shiftright(-first, level)  # rounded up
+        high = F.shiftright(past, level)
+        odd = lambda c: c.bitwiseAND(F.lit(1)) == 1
+        for block, fits in ((low, odd(low)), (high - 1, odd(high))):
+            entry = F.struct(F.lit(level).alias("level"), block.alias("block"))
+            found.append(F.when((low < high) & fits, entry))
+    return F.array_compact(F.array(*found))
 
 
 def within_period(
@@ -113,15 +161,24 @@ def within_period(
     start: str,
     end: str,
     how: str = "inner",
-    width: int = 32,
 ) -> DataFrame:
     """Rows joined to the periods (both ends included) that hold their date.
 
-    The date bin is a second equality key, so one busy person is spread over bins. A row has one bin,
-    hence the left join still keeps rows without a period once.
+    A period is cut into dyadic blocks of days, about 2 log2(days) rows however long it is; the distinct dates of a key
+    look up one block of every level that occurs (at most 23). A date and a period share exactly one block, so no test of the dates is
+    left. What is found is joined to the rows by key and date; a left join keeps rows without a period once.
     """
-    bins = F.sequence(_bin(F.col(start), width), _bin(F.col(end), width))
-    binned = periods.where(F.col(start) <= F.col(end)).withColumn("_bin", F.explode(bins))
-    marked = points.withColumn("_bin", _bin(F.col(day), width))
-    inside = (F.col(start) <= F.col(day)) & (F.col(end) >= F.col(day))
-    return keyed_join(marked, binned, [*on, "_bin"], how, inside).drop("_bin")
+    if S.may_be_skewed(points):
+        points = S.written(points)
+    blocks = (
+        periods.where(F.col(start) <= F.col(end))
+        .withColumn("_block", F.explode(period_blocks(F.col(start), F.col(end))))
+        .withColumns({"_level": F.col("_block.level"), "_block": F.col("_block.block")})
+    )
+    levels = sorted(r[0] for r in blocks.select("_level").distinct().collect())
+    asked = points.select(*on, day).where(~_any_null([*on, day])).distinct()
+    looked = F.array(*[F.lit(k) for k in levels]) if levels else F.array().cast("array<int>")
+    asked = asked.withColumn("_level", F.explode(looked))
+    asked = asked.withColumn("_block", F.expr(f"shiftright(unix_date(`{day}`), _level)"))
+    held = keyed_join(asked, blocks, [*on, "_level", "_block"]).drop("_level", "_block")
+    return keyed_join(points, held, [*on, day], how)

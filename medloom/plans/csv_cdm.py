@@ -623,7 +623,6 @@ def _with_plan(rows: DataFrame, plans: DataFrame, day: str) -> DataFrame:
         "payer_plan_period_start_date",
         "payer_plan_period_end_date",
         "left",
-        width=366,
     )
     return joined.drop("payer_plan_period_start_date", "payer_plan_period_end_date")
 
