@@ -6,12 +6,14 @@ one: events to their encounter context. Surrogate row numbers over whole tables
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from medloom import session as S
 from medloom.functions.keys import string_id
 from medloom.operators import temporal as TM
 from medloom.operators import terminology as V
@@ -610,50 +612,52 @@ def drug_era(exposures: DataFrame, vocabulary: V.Vocabulary) -> DataFrame:
 _MONEY = "total_charge total_cost total_paid paid_by_payer paid_by_patient".split()
 
 
-def _with_plan(rows: DataFrame, plans: DataFrame, day: str) -> DataFrame:
-    """The payer plan periods that hold a date; rows outside every period stay."""
-    spans = plans.select(
-        "person_id", "payer_plan_period_id", "payer_plan_period_start_date", "payer_plan_period_end_date"
-    )
-    joined = within_period(
-        rows,
-        spans,
-        ["person_id"],
-        day,
-        "payer_plan_period_start_date",
-        "payer_plan_period_end_date",
-        "left",
-    )
-    return joined.drop("payer_plan_period_start_date", "payer_plan_period_end_date")
+def _event_days(events: DataFrame, names: tuple[str, str, str]) -> DataFrame:
+    """(cost_event_id, code, person_id, visit_occurrence_id, _day) of the events that lie in a visit."""
+    event_id, code, day = names
+    return events.select(
+        F.col(event_id).alias("cost_event_id"),
+        F.col(code).alias("code"),
+        "person_id",
+        "visit_occurrence_id",
+        F.col(day).alias("_day"),
+    ).where("visit_occurrence_id IS NOT NULL")
 
 
-def _event_cost(
-    src: Sources, source: DataFrame, visits: DataFrame, events: DataFrame, names: tuple[str, str, str], plans: DataFrame
-) -> DataFrame:
-    """Costs of procedures or drugs: encounter claim plus the base cost of the matching source rows.
+def _plan_days(facts: Sequence[DataFrame], plans: DataFrame) -> DataFrame:
+    """(person_id, _day, payer_plan_period_id): the plans that hold a day on which a person has any event, found once."""
+    days = reduce(DataFrame.unionByName, [f.select("person_id", "_day") for f in facts]).distinct()
+    first, last = "payer_plan_period_start_date", "payer_plan_period_end_date"
+    spans = plans.select("person_id", "payer_plan_period_id", first, last)
+    return S.written(within_period(days, spans, ["person_id"], "_day", first, last).drop(first, last))
+
+
+def _event_costs(src: Sources, visits: DataFrame, procedures: DataFrame, drugs: DataFrame, plan_days: DataFrame) -> DataFrame:
+    """Costs of procedures and drugs: encounter claim plus the base cost of the matching source rows.
 
-    Source rows are cut to distinct (encounter, code, cost) before they meet the events, so repeated codes in
-    one visit do not multiply.
+    The three priced sources are one tagged table that meets the encounters once. Source rows are cut to distinct (encounter,
+    code, cost) before they meet the events, so repeated codes in one visit do not multiply.
     """
-    event_id, event_code, event_day = names
-    priced = source.select("patient", "encounter", "code", "base_cost").distinct()
+    sources = [("procedures", "p", "Procedure"), ("immunizations", "i", "Drug"), ("medications", "m", "Drug")]
+    priced = [
+        src[name].select(
+            F.lit(tag).alias("_from"), F.lit(domain).alias("cost_domain_id"), "patient", "encounter", "code", "base_cost"
+        )
+        for name, tag, domain in sources
+    ]
+    priced = reduce(DataFrame.unionByName, priced).distinct()
     claims = src["encounters"].select(
-        F.col("id").alias("encounter"), "patient", "total_claim_cost", "payer_coverage"
+        F.col("id").alias("encounter"), "patient", string_id("patient").alias("person_id"), "total_claim_cost", "payer_coverage"
     )
-    priced = keyed_join(priced, claims, ["encounter", "patient"])
-    stays = visits.select(
-        F.col("visit_source_value").alias("encounter"), "person_id", "visit_occurrence_id"
+    stays = visits.select(F.col("visit_source_value").alias("encounter"), "person_id", "visit_occurrence_id")
+    priced = keyed_join(priced, keyed_join(claims, stays, ["encounter", "person_id"]), ["encounter", "patient"])
+    facts = procedures.withColumn("cost_domain_id", F.lit("Procedure")).unionByName(
+        drugs.withColumn("cost_domain_id", F.lit("Drug"))
     )
-    priced = keyed_join(priced.withColumn("person_id", string_id("patient")), stays, ["encounter", "person_id"])
-    facts = events.select(
-        F.col(event_id).alias("cost_event_id"),
-        F.col(event_code).alias("code"),
-        "person_id",
-        "visit_occurrence_id",
-        F.col(event_day).alias("_day"),
-    ).where("visit_occurrence_id IS NOT NULL")
     total = F.col("total_claim_cost") + F.col("base_cost")
-    rows = keyed_join(facts, priced, ["visit_occurrence_id", "person_id", "code"]).select(
+    rows = keyed_join(facts, priced, ["visit_occurrence_id", "person_id", "code", "cost_domain_id"]).select(
+        "_from",
+        "cost_domain_id",
         "cost_event_id",
         "person_id",
         "_day",
@@ -663,11 +667,11 @@ def _event_cost(
         F.col("payer_coverage").alias("paid_by_payer"),
         (total - F.col("payer_coverage")).alias("paid_by_patient"),
     )
-    rows = _with_plan(rows.distinct(), plans, "_day")
-    return rows.select("cost_event_id", *_MONEY, "payer_plan_period_id").distinct()
+    rows = keyed_join(rows, plan_days, ["person_id", "_day"], "left")
+    return rows.select("_from", "cost_domain_id", "cost_event_id", *_MONEY, "payer_plan_period_id").distinct()
 
 
-def _condition_cost(src: Sources, visits: DataFrame, conditions: DataFrame, plans: DataFrame) -> DataFrame:
+def _condition_cost(src: Sources, visits: DataFrame, facts: DataFrame, plan_days: DataFrame) -> DataFrame:
     """Claim payments per condition. Every side is summed to its join keys first."""
     amount = F.col("amount")
     paid = (
@@ -704,16 +708,8 @@ def _condition_cost(src: Sources, visits: DataFrame, conditions: DataFrame, plan
     )
     stays = visits.select(F.col("visit_source_value").alias("encounter"), "person_id", "visit_occurrence_id")
     rows = keyed_join(rows.withColumn("person_id", string_id("patient")), stays, ["encounter", "person_id"])
-    facts = conditions.select(
-        F.col("condition_occurrence_id").alias("cost_event_id"),
-        F.col("condition_source_value").alias("code"),
-        "person_id",
-        "visit_occurrence_id",
-        F.col("condition_start_date").alias("_day"),
-    )
-    facts = facts.where("visit_occurrence_id IS NOT NULL").distinct()
-    rows = keyed_join(facts, rows, ["visit_occurrence_id", "person_id", "code"])
-    rows = _with_plan(rows, plans, "_day")
+    rows = keyed_join(facts.distinct(), rows, ["visit_occurrence_id", "person_id", "code"])
+    rows = keyed_join(rows, plan_days, ["person_id", "_day"], "left")
     zero = F.lit(0).cast("decimal(18,2)")
     rows = rows.groupBy("cost_event_id", "payer_plan_period_id").agg(
         F.coalesce(F.sum("_payer"), zero).alias("_payer"), F.coalesce(F.sum("_patient"), zero).alias("_patient")
@@ -737,19 +733,18 @@ def cost(
     conditions: DataFrame,
     plans: DataFrame,
 ) -> DataFrame:
-    proc = ("procedure_occurrence_id", "procedure_source_value", "procedure_date")
-    drug = ("drug_exposure_id", "drug_source_value", "drug_exposure_start_date")
-    parts = [
-        ("Procedure", "p", _event_cost(src, src["procedures"], visits, procedures, proc, plans)),
-        ("Drug", "i", _event_cost(src, src["immunizations"], visits, drugs, drug, plans)),
-        ("Drug", "m", _event_cost(src, src["medications"], visits, drugs, drug, plans)),
-    ]
+    procedures = _event_days(procedures, ("procedure_occurrence_id", "procedure_source_value", "procedure_date"))
+    drugs = _event_days(drugs, ("drug_exposure_id", "drug_source_value", "drug_exposure_start_date"))
+    facts = [procedures, drugs]
     if src.version != "2.7.0":  # the oldest exports have no claims
-        parts.append(("Condition", "c", _condition_cost(src, visits, conditions, plans)))
-    named = [
-        df.withColumn("cost_domain_id", F.lit(domain)).withColumn("_from", F.lit(tag)) for domain, tag, df in parts
-    ]
-    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), named)
+        conditions = _event_days(conditions, ("condition_occurrence_id", "condition_source_value", "condition_start_date"))
+        facts.append(conditions)
+    plan_days = _plan_days(facts, plans)
+    rows = _event_costs(src, visits, procedures, drugs, plan_days)
+    if len(facts) > 2:
+        more = _condition_cost(src, visits, conditions, plan_days)
+        more = more.withColumns({"cost_domain_id": F.lit("Condition"), "_from": F.lit("c")})
+        rows = rows.unionByName(more, allowMissingColumns=True)
     if "paid_by_primary" not in rows.columns:
         rows = rows.withColumn("paid_by_primary", F.lit(None))
     rows = rows.select(
