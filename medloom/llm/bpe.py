@@ -45,19 +45,35 @@ def _numbered(plain: list[int], rest: Iterator[int]) -> list[tuple[int, int]]:
 
 
 class Automaton:
-    """Token automaton of a merge list. Tokens are ids; ``vocab`` maps strings to them."""
+    """Token automaton of a merge list. Tokens are ids; ``vocab`` maps strings to them.
+
+    A merge whose parts never stand side by side when its turn comes makes no gadget, and a token that no merge produces is
+    never read. A merge listed before those that make its parts has no place in the order and raises ValueError.
+    """
 
     def __init__(self, vocab: dict[str, int], merges: list[tuple[str, str]], suffix: str = ""):
-        self.vocab, self.suffix = vocab, suffix
+        self.suffix = suffix
         self.longest = max((len(t) - (len(suffix) if suffix and t.endswith(suffix) else 0) for t in vocab), default=1)
         self.symbols = {t for t in vocab if len(t) == 1}
+        # what merging can produce; vocabulary entries beyond that have no arc
+        self.tokens = {t: i for t, i in vocab.items() if len(t) == 1 or (suffix and t[1:] == suffix)}
         self.left: dict[int, int] = {}
         self.right: dict[int, int] = {}
         self.born: dict[int, int] = {}
         self.removed: dict[int, dict[int, int]] = {}
+        early: list[tuple[int, str, str]] = []
+        last = {pair: rank for rank, pair in enumerate(merges)}  # a repeated pair has its later rank
         for rank, (u, v) in enumerate(merges):
-            if u in vocab and v in vocab and u + v in vocab and vocab[u + v] not in self.born:
-                self._gadget(rank, vocab[u], vocab[v], vocab[u + v])
+            if last[u, v] != rank:
+                continue
+            if u not in self.tokens or v not in self.tokens:
+                early.append((rank, u, v))
+            elif u + v in vocab and self._arc(self.tokens[u], self.tokens[v]):
+                self._gadget(rank, self.tokens[u], self.tokens[v], vocab[u + v])
+                self.tokens[u + v] = vocab[u + v]
+        for rank, u, v in early:
+            if u in self.tokens and v in self.tokens and u + v in vocab:
+                raise ValueError(f"merge {rank} ({u} {v}) stands before the merges of its parts")
         self.arcs: dict[int, bool] = {}
 
     def _gadget(self, rank: int, u: int, v: int, uv: int) -> None:
@@ -108,7 +124,7 @@ class Automaton:
         other way reaches it) and the last arc is replaced by a shorter one. Symbols outside the vocabulary are left out, as a
         model without an unknown token does.
         """
-        vocab, suffix, follows, longest = self.vocab, self.suffix, self.follows, self.longest
+        vocab, suffix, follows, longest = self.tokens, self.suffix, self.follows, self.longest
         if suffix and symbols and symbols[-1] + suffix not in vocab:
             suffix, symbols = "", symbols[:-1]
         if not all(map(self.symbols.__contains__, symbols)):

@@ -96,25 +96,38 @@ def _merge(symbols, ranks):
     return symbols
 
 
-def test_automaton_equals_merging():
-    rng = np.random.default_rng(0)
-    for _ in range(40):
+@pytest.mark.parametrize("several_ways", [False, True])
+def test_automaton_equals_merging(several_ways):
+    rng = np.random.default_rng(int(several_ways))
+    out_of_order = words = 0
+    for _ in range(120):
         tokens, merges = ["a", "b", "c"], []
-        for _ in range(12):
+        for _ in range(14):
             u, v = (tokens[rng.integers(len(tokens))] for _ in range(2))
-            if u + v not in tokens:
+            if u + v not in tokens or (several_ways and (u, v) not in merges):
                 merges.append((u, v))
-                tokens.append(u + v)
+                tokens += [u + v] * (u + v not in tokens)
         vocab = {t: i for i, t in enumerate(tokens)}
-        # as in trained files, a token is made by one merge only; merges that never apply are harmless
-        machine = bpe.Automaton(vocab, merges)
         ranks = {m: i for i, m in enumerate(merges)}
-        reachable = [m for m in merges if _merge(list(m[0] + m[1]), ranks) == [m[0] + m[1]]]
-        if len(reachable) < len(merges):
+        try:
+            machine = bpe.Automaton(vocab, merges)
+        except ValueError:
+            out_of_order += 1
             continue
-        for _ in range(60):
-            word = "".join(rng.choice(list("abc"), rng.integers(1, 14)))
+        for word in [*tokens, *("".join(rng.choice(list("abc"), rng.integers(1, 14))) for _ in range(60))]:
+            words += 1
             assert [tokens[i] for i in machine.encode(word)] == _merge(list(word), ranks), (merges, word)
+    assert out_of_order <= (3 if several_ways else 0) and words > 8_000
+
+
+def test_automaton_leaves_out_tokens_that_merging_never_makes():
+    pairs = [("a", "a"), ("aa", "a"), ("b", "a"), ("a", "aaa"), ("c", "ba"), ("aaa", "aaaa"), ("cba", "a"), ("ba", "aaa")]
+    tokens = ["a", "b", "c", *(u + v for u, v in pairs)]
+    machine = bpe.Automaton({t: i for i, t in enumerate(tokens)}, pairs)
+    assert [tokens[i] for i in machine.encode("baaaa")] == ["b", "aa", "aa"]
+    assert [tokens[i] for i in machine.encode("aaaa")] == ["aa", "aa"]
+    with pytest.raises(ValueError, match="stands before"):
+        bpe.Automaton({"a": 0, "b": 1, "c": 2, "ab": 3, "abc": 4}, [("ab", "c"), ("a", "b")])
 
 
 def _roots(nodes, links):
@@ -197,6 +210,26 @@ def test_chat(spark):
         list(chat.spans([("user", "a"), ("user", "b")], counted))
 
 
+def test_templates_over_many_turns():
+    turns = [("user" if t % 2 == 0 else "assistant", f"text {t}") for t in range(700)]
+    marked = lambda messages: "<first>" * bool(messages) + chat.turn_template(messages)
+    numbered = lambda messages: "".join(f"{n}: {chat.turn_template([m])}" for n, m in enumerate(messages))
+    recent = lambda messages: chat.turn_template(messages[-40:])
+    for template, count in ((marked, 700), (chat.turn_template, 700), (numbered, 200)):
+        found = list(chat.spans(turns[:count], template))
+        text = template(turns[:count])
+        assert "".join(s.piece for s in found) == text
+        for span, (_, said) in zip(found, turns):
+            assert text[span.text_start : span.text_end] == said
+            assert text[span.start : span.start + len(span.piece)] == span.piece
+    assert len(list(chat.spans(turns[:40], recent))) == 40
+    for template, count in ((recent, 80), (recent, 700), (numbered, 700)):
+        with pytest.raises(chat.RewritesHistory):
+            list(chat.spans(turns[:count], template))
+    long = [("user", "x" * 100_000)] * 60  # very long texts: windows, same output
+    assert "".join(s.piece for s in chat.spans(long, marked)) == marked(long)
+
+
 def test_html(spark):
     page = (
         "<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body><nav><ul><li><a href=/x>x</a></ul></nav>"
