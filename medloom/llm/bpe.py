@@ -24,6 +24,8 @@ import unicodedata
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from medloom.llm.cluster import free_name
+
 # Words and arcs remembered by one Python worker; a full memory of words is kept until the next one is full, that of arcs starts anew.
 MOST_WORDS = 250_000
 MOST_ARCS = 500_000
@@ -246,25 +248,31 @@ def tokenizer(path: str) -> Tokenizer:
 
 
 def encode(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns, ids (binary, unsigned 32-bit little-endian) and n_tokens for every row; null text is empty."""
-    fields = [f for f in docs.schema.fields if f.name in keep]
+    """``keep`` columns, n_tokens and ids (binary, unsigned 32-bit little-endian) for every row; null text is empty.
+
+    Kept columns named n_tokens or ids are replaced, others pass through. Repeated rows encode alike, a very long text is read
+    whole, and an empty table gives no rows.
+    """
+    fields = [f for f in docs.schema.fields if f.name in keep and f.name.lower() not in ("n_tokens", "ids")]
+    own = free_name(docs, "_text")
     schema = T.StructType([*fields, T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = tokenizer(path)
         names = [f.name for f in fields]
         for batch in _slices(batches):
-            ids = [t.encode(x.as_py()) for x in batch.column("_text")]
+            ids = [t.encode(x.as_py()) for x in batch.column(own)]
             counts = pa.array([len(x) // 4 for x in ids], pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(n) for n in names), counts, pa.array(ids, pa.binary())], [*names, "n_tokens", "ids"]
             )
 
-    return docs.select(*[f.name for f in fields], docs["text"].alias("_text")).mapInArrow(run, schema)
+    return docs.select(*[docs[f.name] for f in fields], docs["text"].alias(own)).mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
-    """Add ``text``, the labels of ``ids``."""
+    """Add ``text``, the labels of ``ids``; null ids are none. A ``text`` column is replaced."""
+    encoded = encoded.drop("text")
     schema = T.StructType([*encoded.schema.fields, T.StructField("text", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -277,22 +285,23 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
 
 def round_trip(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``decode(encode(docs))`` with one tokenizer a worker."""
-    fields = [f for f in docs.schema.fields if f.name in keep]
+    """``decode(encode(docs))`` with one tokenizer a worker. Kept columns named n_tokens, ids or text are replaced."""
+    fields = [f for f in docs.schema.fields if f.name in keep and f.name.lower() not in ("n_tokens", "ids", "text")]
+    own = free_name(docs, "_text")
     more = [T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType()), T.StructField("text", T.StringType())]
     names = [f.name for f in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = tokenizer(path)
         for batch in _slices(batches):
-            ids = [t.encode(x.as_py()) for x in batch.column("_text")]
+            ids = [t.encode(x.as_py()) for x in batch.column(own)]
             counts = pa.array([len(x) // 4 for x in ids], pa.int64())
             texts = pa.array([t.decode(x) for x in ids], pa.string())
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(n) for n in names), counts, pa.array(ids, pa.binary()), texts], [*names, "n_tokens", "ids", "text"]
             )
 
-    return docs.select(*names, docs["text"].alias("_text")).mapInArrow(run, T.StructType([*fields, *more]))
+    return docs.select(*[docs[n] for n in names], docs["text"].alias(own)).mapInArrow(run, T.StructType([*fields, *more]))
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:

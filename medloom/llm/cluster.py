@@ -21,6 +21,14 @@ def small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or the first longer one that ``df`` has no column of; names differ by more than case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def share_of_hash(key: Column, share: float) -> Column:
     """A deterministic choice of ``share`` of the keys."""
     return F.pmod(F.xxhash64(F.lit("share"), key), F.lit(1_000_000)) < F.lit(int(share * 1_000_000))

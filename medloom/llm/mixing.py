@@ -134,9 +134,15 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: int = 100) -
 
 
 def sample(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: int = 100) -> DataFrame:
-    """The mix itself: rows of ``docs`` with all their columns, each as often as the mix takes it."""
+    """The mix itself: rows of ``docs`` with all their columns, whatever their names, each as often as the mix takes it.
+
+    Nulls, empty texts, repeated rows and empty tables are as in :func:`mix`; rows without words are not taken where their source
+    has none.
+    """
     cuts = cuts_of(saved(sized(docs)), weights, share)
-    names = docs.columns
-    hashed = docs.withColumn("_hash", document_hash(F.col("doc_id"), F.col("text")))
+    # the given columns travel as one struct, so no name of theirs can clash
+    whole = F.struct(*(docs[c] for c in docs.columns)).alias("row")
+    hashed = docs.select(whole, docs["source"].alias("source"), document_hash(docs["doc_id"], docs["text"]).alias("_hash"))
     taken = _counted(hashed, cuts).where("copies > 0")
-    return taken.select(*names, F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("_copy")).drop("_copy")
+    taken = taken.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"))
+    return taken.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))

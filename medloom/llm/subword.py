@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from medloom.llm import text as X
-from medloom.llm.cluster import saved
+from medloom.llm.cluster import free_name, saved
 
 MOST_LABELLED = 6_000  # labelled rows that are fitted, chosen by hash of the id
 BITS = 17
@@ -133,17 +133,22 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> np.nda
     return np.array(row["weights"]) if row else train([])  # without labelled rows there is no task
 
 
-def score(docs: DataFrame, weights: np.ndarray, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns and ``score`` (0 to 1, higher: better) of every row; null and empty texts score by the bias alone."""
-    fields = [f for f in docs.schema.fields if f.name in keep]
+def score(docs: DataFrame, weights: np.ndarray, keep: tuple[str, ...] = ("doc_id",), name: str = "score") -> DataFrame:
+    """``keep`` columns and column ``name`` (0 to 1, higher: better) of every row; null and empty texts score by the bias alone.
+
+    A kept column of that name is replaced; others pass through, whatever their names. Repeated rows score alike, a very long
+    text is read whole, and an empty table gives no rows.
+    """
+    fields = [f for f in docs.schema.fields if f.name in keep and f.name.lower() != name.lower()]
     names = [f.name for f in fields]
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + ["score double"])
+    own = free_name(docs, "_text")
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + [f"`{name}` double"])
     shared = docs.sparkSession.sparkContext.broadcast(weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = shared.value
         for batch in batches:
-            for at, to, data, offsets in X.chunks(batch.column("_text")):
+            for at, to, data, offsets in X.chunks(batch.column(own)):
                 total, count = np.zeros(to - at), np.zeros(to - at)
                 for ids, first in _features(data, offsets):
                     run_sum = np.concatenate(([0.0], np.cumsum(w[ids])))
@@ -151,10 +156,10 @@ def score(docs: DataFrame, weights: np.ndarray, keep: tuple[str, ...] = ("doc_id
                     count += np.diff(first)
                 z = np.divide(total, count, out=np.zeros_like(total), where=count > 0) + w[-1]
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(n).slice(at, to - at) for n in names), pa.array(1 / (1 + np.exp(-z)))], [*names, "score"]
+                    [*(batch.column(n).slice(at, to - at) for n in names), pa.array(1 / (1 + np.exp(-z)))], [*names, name]
                 )
 
-    return docs.select(*names, F.col("text").alias("_text")).mapInArrow(run, schema)
+    return docs.select(*(docs[n] for n in names), docs["text"].alias(own)).mapInArrow(run, schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
