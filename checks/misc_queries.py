@@ -15,6 +15,7 @@ from medloom.operators import terminology as V
 from medloom.operators.flatten import Col, Columns, ForEach, UnionAll, View, flatten, flatten_parsed
 from medloom.plans import edges as E
 from medloom.plans import views
+from medloom.session import scratch_path
 from medloom.sources import conceptmaps, fhir
 
 Q: dict[str, Build] = {}
@@ -95,6 +96,42 @@ def _counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fhir.load_counts(fhir.entries(_bundles(spark, sf_dir)))
 
 
+@register(
+    "line_export_load",
+    """
+SELECT 'Order' AS resource_type, CAST(o_orderkey AS VARCHAR) AS id,
+       CASE WHEN o_orderkey % 100 = 5 THEN 'old' ELSE o_orderstatus END AS status,
+       o_orderkey % 100 <> 5 AND o_orderkey % 2 = 0 AS has_note
+FROM orders WHERE o_orderkey % 100 <> 3""",
+)
+def _line_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders written as an export of one bundle a line, with an older version before the newer; some lines are broken, some second
+    versions have an empty id, every other newer version has an element without a value in the resource schema."""
+    orders = M.table(spark, sf_dir, "orders")
+    key, number = F.col("o_orderkey").cast("string"), F.col("o_orderkey")
+    note = F.when(number % 2 == 0, F.lit(',"note":{"text":"a \\"quoted\\" note"}')).otherwise("")
+    line = F.concat(
+        F.lit('{"resourceType":"Bundle","entry":[{"resource":{"resourceType":"Order","id":"'),
+        key,
+        F.lit('","status":"old"}},{"resource":{"resourceType":"Order","id":"'),
+        F.when(number % 100 == 5, "").otherwise(key),
+        F.lit('","status":"'),
+        "o_orderstatus",
+        F.lit('"'),
+        note,
+        F.lit("}}]}"),
+    )
+    folder = f"{scratch_path(spark, 'lines')}/data"
+    orders.select(F.when(number % 100 == 3, F.concat(line, F.lit("]"))).otherwise(line).alias("value")).write.text(folder)
+    resources = fhir.load(spark, folder, lines=True)
+    return resources.select(
+        "resource_type",
+        "id",
+        F.get_json_object("resource", "$.status").alias("status"),
+        F.get_json_object("resource", "$.note.text").isNotNull().alias("has_note"),
+    )
+
+
 @register(
     "resource_table_names",
     "SELECT lower(event_type) || '_report' AS table_name, count(*) AS n FROM events GROUP BY 1",

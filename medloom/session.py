@@ -64,16 +64,24 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def scratch_path(spark: SparkSession, kind: str = "table") -> str:
+    """A new path in the shared folder. What is written there goes when the driver's JVM ends."""
+    path = f"{shared_folder(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(target)  # only what exists can be marked
+    system.deleteOnExit(target)
+    return path
+
+
 def written(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read on from it, so that later scans read only their columns.
 
     The table goes when the driver's JVM ends.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    path = f"{scratch_path(spark)}/data"
     df.write.parquet(path)
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -38,6 +38,50 @@ def test_bundles_from_files(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(resource_type" in plan and "ReadSchema: struct<resource:string>" in plan
 
 
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ('{"resourceType":"A","id":"1","v":12345678901234567890.5}', [("A", "1", False)]),
+        ('{"resourceType":"A","id":7}', [("A", "7", False)]),
+        ('{"resourceType":"A","id":""}', [("A", None, False)]),
+        ('{"resourceType":"A","id":"1","id":"2"}', [("A", "2", False)]),
+        ('{"resourceType":"Bundle"}', []),
+        ('{"resourceType":"Bundle","entry":null}', []),
+        ('{"resourceType":"Bundle","entry":[{"fullUrl":"u"},{"resource":null},{"resource":{"id":"1"}}]}', [(None, None, False)] * 2 + [(None, "1", False)]),
+        ('{"resourceType":"Bundle","entry":[{"resource":{"resourceType":"A","id":"1","x":1,"x":2}}]}', [("A", "1", False)]),
+        ('{"resourceType":"Bundle","entry":5}', [(None, None, True)]),
+        ('[{"resourceType":"A","id":"1"}]', [(None, None, False)]),
+        ('{"resourceType":"A","id":"1"} behind', [(None, None, True)]),
+        ('{"resourceType":"A","id":"1"}] behind', [(None, None, True)]),
+        ('{"resourceType":"A","id":"1"}\n{"resourceType":"A","id":"2"}', [(None, None, True)]),
+        ("", [(None, None, True)]),
+        (" ", [(None, None, True)]),
+        (None, [(None, None, True)]),
+    ],
+)
+def test_entries_of_one_text(spark, text, want):
+    rows = fhir.entries(spark.createDataFrame([(text, "keep")], "value string, position_in_run string")).orderBy("position").collect()
+    assert [(r.resource_type, r.id, r.broken) for r in rows] == want
+    assert all(r.position_in_run == "keep" for r in rows)
+    if text and "12345678901234567890.5" in text:
+        assert "12345678901234567890.5" in rows[0].resource
+
+
+def test_line_exports_are_split_and_the_last_line_wins(spark, tmp_path):
+    lines = [json.dumps(patient(f"p{i % 500}", gender=str(i))) for i in range(4000)]
+    lines[3000:3000] = ["", "{broken", bundle(patient("inside", gender="x"), patient("inside", gender="y"))]
+    (tmp_path / "a.ndjson").write_text("\n".join(lines))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        read = fhir.read_lines(spark, str(tmp_path))
+        assert read.rdd.getNumPartitions() > 3
+        assert fhir.load_counts(fhir.entries(read)).where("broken_files > 0").first().broken_files == 1
+        got = {r.id: json.loads(r.resource)["gender"] for r in fhir.load(spark, str(tmp_path), lines=True).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == {**{f"p{i % 500}": str(i) for i in range(3500, 4000)}, "inside": "y"}
+
+
 @pytest.mark.parametrize(
     ("name", "table"),
     [("Patient", "patient"), ("MedicationRequest", "medication_request"), ("DiagnosticReport", "diagnostic_report")],
