@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from medloom.plans.profiles import REQUIRED_ELEMENTS
 from medloom.schema import cdm
@@ -66,15 +67,41 @@ def key_report(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def missing_required(table: str) -> Column:
+    """Names of the NOT NULL columns of a table that a row leaves NULL, in the order of the table's rules."""
+    names = [cdm.primary_key(table), *cdm.REQUIRED.get(table, [])]
+    return F.filter(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in names]), lambda x: x.isNotNull())
+
+
 def split_required(df: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
     """Rows that meet the NOT NULL columns of a table, and the others with the reason."""
-    names = [cdm.primary_key(table), *cdm.REQUIRED.get(table, [])]
-    missing = F.filter(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in names]), lambda x: x.isNotNull())
-    marked = df.withColumn("missing", missing)
+    marked = df.withColumn("missing", missing_required(table))
     good = marked.where(F.size("missing") == 0).drop("missing")
     return good, marked.where(F.size("missing") > 0)
 
 
+def profile_metrics(df: DataFrame) -> list[Column]:
+    """Aggregates for ``DataFrame.observe``: rows, NULLs of each column and the longest text of each text column."""
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    return [
+        F.count(F.lit(1)).alias("rows"),
+        *[F.count_if(F.col(c).isNull()).alias(f"nulls {c}") for c in df.columns],
+        *[F.max(F.length(c)).alias(f"longest {c}") for c in texts],
+    ]
+
+
+def profile_rows(table: str, columns: Sequence[str], metrics: dict) -> list[tuple]:
+    """Observed metrics as (table, column, rows, nulls, null_rate, violation, longest), judged as :func:`null_profile` does."""
+    rows, key, out = metrics["rows"], cdm.primary_key(table), []
+    for c in columns if rows else ():
+        nulls = metrics[f"nulls {c}"]
+        out.append((table, c, rows, nulls, nulls / rows, nulls > 0 if c == key else nulls == rows, metrics.get(f"longest {c}")))
+    return out
+
+
+PROFILE_SCHEMA = "table string, column string, rows long, nulls long, null_rate double, violation boolean, longest int"
+
+
 def row_bag_difference(actual: DataFrame, expected: DataFrame) -> DataFrame:
     """Rows that one side has more often than the other. A column that ``expected`` lacks must be NULL."""
     names = actual.columns

@@ -6,7 +6,9 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from medloom.operators import quality
 from medloom.plans import edges as E
@@ -80,11 +82,42 @@ def build_tables(ctx: E.Context, only: set[str] | None = None) -> dict[str, Data
     return {table: reduce(DataFrame.unionByName, dfs) for table, dfs in parts.items()}
 
 
+def write_table(df: DataFrame, table: str, path: str) -> list[tuple]:
+    """Write one table to ``path/table`` and its bad rows to ``path/_quarantine/table``; return the profile of all rows.
+
+    The rows are computed once: one write parts them by what they lack and counts NULLs and text lengths on the way, then the
+    finished folders move to their places. Only the quarantined rows are written a second time, with their reasons as a list.
+    Rows of earlier runs are replaced when the write has succeeded. On object stores a move is a copy within the store.
+    """
+    spark = df.sparkSession
+    seen = Observation()
+    reason = F.array_join(quality.missing_required(table), ",")
+    marked = df.observe(seen, *quality.profile_metrics(df)).withColumn("missing", F.nullif(reason, F.lit("")))
+    staged = f"{path}/_staged/{table}"
+    marked.write.mode("overwrite").partitionBy("missing").parquet(staged)
+
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    target = hadoop.Path(f"{path}/{table}")
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    parts = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("missing", T.StringType())])).parquet(staged)
+    bad = parts.where("missing is not null").withColumn("missing", F.split("missing", ","))
+    bad.write.mode("overwrite").parquet(f"{path}/_quarantine/{table}")
+    good = hadoop.Path(f"{staged}/missing=__HIVE_DEFAULT_PARTITION__")
+    if system.exists(good):
+        system.delete(target, True)
+        if not system.rename(good, target):
+            raise OSError(f"cannot move {good} to {target}")
+    else:
+        spark.createDataFrame([], df.schema).write.mode("overwrite").parquet(f"{path}/{table}")
+    system.delete(hadoop.Path(staged), True)
+    return quality.profile_rows(table, df.columns, seen.get)
+
+
 def write_tables(ctx: E.Context, path: str, strict: bool = False, only: set[str] | None = None) -> DataFrame:
-    """Write every table with one job each, bad rows to ``_quarantine``, and return the key report.
+    """Write every table, each computed once, bad rows to ``_quarantine``, and return the key report.
 
     The Maps-to table, families and views that feed several tables are materialised once. ``strict`` turns the
-    required-element gate on.
+    required-element gate on. ``_profile`` holds rows, NULLs and longest texts of every column as they came out of the edges.
     """
     ctx.materialize = True
     ctx.vocabulary = ctx.vocabulary.materialized()
@@ -92,9 +125,9 @@ def write_tables(ctx: E.Context, path: str, strict: bool = False, only: set[str]
         ctx.gate = quality.strict_gate
     spark = ctx.resources.sparkSession
     written: dict[str, DataFrame] = {}
+    profile: list[tuple] = []
     for table, df in build_tables(ctx, only).items():
-        good, bad = quality.split_required(df, table)
-        good.write.mode("overwrite").parquet(f"{path}/{table}")
-        bad.write.mode("overwrite").parquet(f"{path}/_quarantine/{table}")
+        profile += write_table(df, table, path)
         written[table] = spark.read.schema(cdm.schema(table)).parquet(f"{path}/{table}")
+    spark.createDataFrame(profile, quality.PROFILE_SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{path}/_profile")
     return quality.key_report(written)
