@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,7 +12,7 @@ from medloom.functions import keys as K
 from medloom.operators import quality as QL
 from medloom.operators import references as R
 from medloom.operators import terminology as V
-from medloom.operators.flatten import Col, Columns, ForEach, UnionAll, View, flatten, flatten_parsed
+from medloom.operators.flatten import Col, Columns, ForEach, UnionAll, View, descend, flatten, flatten_parsed
 from medloom.plans import edges as E
 from medloom.plans import views
 from medloom.session import scratch_path
@@ -614,6 +614,49 @@ def _gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL["strict_gate"] += " WHERE l_returnflag IN ('A', 'N')"
 
 
+@register(
+    "view_descend",
+    """
+WITH line AS (
+  SELECT l_orderkey, l_linenumber, l_quantity, row_number() OVER (
+    PARTITION BY l_orderkey ORDER BY l_linenumber, CAST(l_quantity AS BIGINT)) AS depth FROM lineitem)
+SELECT 'q' || l_orderkey AS id, 'line ' || l_linenumber AS link, CAST(l_quantity AS BIGINT) AS quantity, depth FROM line
+UNION ALL
+SELECT 'q' || l_orderkey, 'note ' || l_linenumber, NULL, depth + 1 FROM line WHERE l_linenumber % 2 = 0""",
+)
+def _descended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines as nested questionnaire items, each line within the one before; even lines also have an answer with an item."""
+    lines = M.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_quantity").cast("long").alias("quantity")
+    )
+    own = F.struct("l_linenumber", "quantity")
+    # an order has few lines, whatever the size of the table
+    orders = lines.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(own), asc=False).alias("lines"))
+
+    def nest(inner: Column, line: Column) -> Column:
+        number = line.getField("l_linenumber").cast("string")
+        note = F.concat(F.lit(',"answer":[{"item":{"linkId":"note '), number, F.lit('"}}]'))
+        return F.concat(
+            F.lit('[{"linkId":"line '),
+            number,
+            F.lit('","quantity":'),
+            line.getField("quantity").cast("string"),
+            F.when(line.getField("l_linenumber") % 2 == 0, note).otherwise(""),
+            F.lit(',"item":'),
+            inner,
+            F.lit("}]"),
+        )
+
+    items = F.aggregate("lines", F.lit("null"), nest)
+    resources = orders.select(
+        F.lit("QuestionnaireResponse").alias("resource_type"),
+        F.concat(F.lit("q"), "l_orderkey").alias("id"),
+        F.concat(F.lit('{"resourceType":"QuestionnaireResponse","item":'), items, F.lit("}")).alias("resource"),
+    )
+    columns = {"link": ("linkId", "string"), "quantity": ("quantity", "bigint")}
+    return descend(resources, "QuestionnaireResponse", ["item", "answer.item"], columns).drop("place")
+
+
 @register(
     "null_profile",
     """

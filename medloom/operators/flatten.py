@@ -7,12 +7,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medloom.functions.paths import Node
+from medloom.session import written
 from medloom.schema import fhir
 
 # Declared column types that are not text.
@@ -64,7 +66,7 @@ class UnionAll:
 
 @dataclass(frozen=True)
 class Repeat:
-    """Descend along ``path`` from each found node, as deep as the typed schema goes."""
+    """Descend along ``path`` from each found node, as deep as the typed schema goes; :func:`descend` has no such limit."""
 
     path: Path
     select: tuple
@@ -182,3 +184,57 @@ def flatten(resources: DataFrame, view: View) -> DataFrame:
         F.explode(F.array(F.from_json("resource", schema))).alias("_r")
     )
     return flatten_parsed(parsed, view, "_r", schema)
+
+
+def descend(
+    resources: DataFrame, resource_type: str, paths: Sequence[str], columns: dict[str, tuple[str, str]], keep: Sequence[str] = ("id",)
+) -> DataFrame:
+    """One row per node found by going down ``paths`` again and again, however deep the resources are nested.
+
+    ``paths`` are element names (``item``, ``answer.item``) tried on the resource and then on every node found; lists on the way
+    are followed element by element. ``columns`` maps each result column to (element path within the node, SQL type); a value that
+    does not fit its type is NULL. Added are ``depth`` (from 1) and ``place``, which sorts the nodes of a resource in document
+    order: (index of the path, position) for each level. Resources that are not JSON, NULL or without such elements give no rows.
+
+    Each level is one narrow job over what the level above left, without a shuffle, and is written, so a lost executor costs one
+    level only. There are as many jobs as the deepest resource has levels.
+    """
+    names = [*columns, "depth", "place", *keep]
+    if len(set(names)) < len(names):
+        raise ValueError(f"column names repeat: {names}")
+    level = resources.where(F.col("resource_type") == resource_type).select(
+        *keep, F.try_parse_json("resource").alias("_node"), F.array().cast("array<int>").alias("place")
+    )
+    found: list[DataFrame] = []
+    while True:
+        below = F.flatten(F.array(*[_children(F.col("_node"), path, i) for i, path in enumerate(paths)]))
+        level = level.select(*keep, "place", F.explode(below).alias("_child")).select(
+            *keep, F.concat("place", F.col("_child.place")).alias("place"), F.col("_child.node").alias("_node")
+        )
+        level = written(level)
+        if level.isEmpty():
+            break
+        values = [F.try_variant_get("_node", f"$.{path}", kind).alias(name) for name, (path, kind) in columns.items()]
+        found.append(level.select(*keep, *values, F.lit(len(found) + 1).alias("depth"), "place"))
+    if not found:
+        values = [F.try_variant_get("_node", f"$.{path}", kind).alias(name) for name, (path, kind) in columns.items()]
+        return level.select(*keep, *values, F.lit(0).alias("depth"), "place")
+    return reduce(DataFrame.unionByName, found)
+
+
+def _children(node: Column, path: str, index: int) -> Column:
+    """The nodes that ``path`` finds below ``node``, with their places."""
+    nodes = F.array(node)
+    for name in path.split("."):
+        nodes = F.flatten(F.transform(nodes, _step(name)))
+    return F.transform(nodes, lambda x, i: F.struct(F.array(F.lit(index), i).alias("place"), x.alias("node")))
+
+
+def _step(name: str) -> Callable[[Column], Column]:
+    def one(x: Column) -> Column:
+        many = F.try_variant_get(x, f"$.{name}", "array<variant>")
+        single = F.try_variant_get(x, f"$.{name}", "variant")
+        some = F.filter(F.coalesce(many, F.array(single)), lambda v: v.isNotNull() & ~F.is_variant_null(v))
+        return F.coalesce(some, F.array().cast("array<variant>"))
+
+    return one

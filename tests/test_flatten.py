@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medloom.functions.paths import Node
-from medloom.operators.flatten import Col, Columns, ForEach, Repeat, UnionAll, View, column_names, flatten_parsed
+from medloom.operators.flatten import Col, Columns, ForEach, Repeat, UnionAll, View, column_names, descend, flatten_parsed
 from medloom.plans.views import ALL_VIEWS
 
 
@@ -101,3 +101,31 @@ def test_reference_key(spark, reference, kind, want):
 def test_unknown_element_fails_at_build_time():
     with pytest.raises(KeyError):
         Node(None, T.StructType([])).get("b")
+
+
+def test_descend_has_no_depth_limit(spark):
+    deep = {"linkId": "40"}
+    for n in range(39, 0, -1):
+        deep = {"linkId": str(n), "item": [deep, {"linkId": f"{n}b", "item": None}]}
+    rows = [
+        ("Q", "deep", json.dumps({"item": [deep]})),
+        ("Q", "mixed", json.dumps({"item": {"linkId": "a", "answer": [{"item": [{"linkId": "b"}]}, 5, {"item": [{"linkId": 7}]}], "item": [{"x": 1}, None]}})),
+        ("Q", "none", json.dumps({"id": "x"})),
+        ("Q", "scalar", json.dumps({"item": 3})),
+        ("Q", "broken", "{"),
+        ("Q", None, None),
+        ("P", "other", json.dumps({"item": [{"linkId": "z"}]})),
+    ]
+    df = spark.createDataFrame(rows, "resource_type string, id string, resource string")
+    found = descend(df, "Q", ["item", "answer.item"], {"link": ("linkId", "string")})
+    got = {}
+    for r in sorted(found.collect(), key=lambda r: r.place):
+        got.setdefault(r.id, []).append((r.link, r.depth))
+    want = [(str(n), n) for n in range(1, 41)] + [(f"{n}b", n + 1) for n in range(39, 0, -1)]
+    assert got["deep"] == want
+    assert got["mixed"] == [("a", 1), (None, 2), ("b", 2), ("7", 2)]
+    assert got["scalar"] == [(None, 1)] and set(got) == {"deep", "mixed", "scalar"}
+    empty = descend(df.limit(0), "Q", ["item"], {"link": ("linkId", "string")})
+    assert empty.columns == found.columns and empty.dtypes == found.dtypes and empty.isEmpty()
+    with pytest.raises(ValueError, match="repeat"):
+        descend(df, "Q", ["item"], {"depth": ("linkId", "string")})
