@@ -1,6 +1,6 @@
 """Importance resampling towards a target distribution of hashed n-grams, with Arrow kernels.
 
-A chunk of texts is lowered (``ascii_lower``), cut (``split_pattern_regex``), flattened and dictionary-encoded. Word n-grams are
+A chunk of texts is lowered (A-Z bytes by a table), cut (``split_pattern_regex``), flattened and dictionary-encoded. Word n-grams are
 pairs of (index of the shorter n-gram, shifted word index), made dense by another dictionary, so the CRC of an n-gram is taken
 once for every distinct pair of a chunk: it goes on from the CRC of the shorter one. Bucket counts and document weights are then
 ``take`` and segment sums over indices. Bucket counts of both sides are summed in Spark (at most BUCKETS rows each); gains are an
@@ -33,7 +33,10 @@ class Features:
     """N-grams of the texts of a chunk: ``bucket[index]`` are the buckets, ``row`` their text, ``words`` the words of each text."""
 
     def __init__(self, texts: pa.Array, buckets: int, longest: int):
-        parts = pc.split_pattern_regex(pc.ascii_lower(texts.cast(pa.large_string()).fill_null("")), SEPARATORS)
+        # lowered on buffers of its own that begin at 0: string kernels misread a slice whose cast keeps its first offset
+        data, offsets = X.buffers(texts)
+        lower = pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(offsets), pa.py_buffer(X.LOWER[data]))
+        parts = pc.split_pattern_regex(lower, SEPARATORS)
         flat, row = pc.list_flatten(parts), pc.list_parent_indices(parts)
         filled = pc.not_equal(flat, "")
         words = flat.filter(filled).dictionary_encode()
