@@ -8,6 +8,7 @@ that rewrites history. Where the text stands inside a span is found by rendering
 from __future__ import annotations
 
 import hashlib
+import math
 import os
 import re
 from collections.abc import Callable, Iterator
@@ -39,9 +40,25 @@ def unescape(text: str) -> str:
     return re.sub(r"\\.", lambda m: _BACK.get(m[0], m[0]), text, flags=re.S)
 
 
+class Turn(tuple):
+    """(role, text) with room for a template to keep what it makes of the turn; that goes with the conversation."""
+
+    formatted: str | None = None
+
+
+def _format(message: tuple[str, str]) -> str:
+    known = getattr(message, "formatted", None)
+    if known is None:
+        role, text = message
+        known = f"{START}{role.translate(_IN_ROLE)}{MIDDLE}{escape(text)}{END}"
+        if isinstance(message, Turn):
+            message.formatted = known
+    return known
+
+
 def turn_template(messages: list[tuple[str, str]]) -> str:
     """``### role: text</turn>`` and a line end for every turn; control strings inside are escaped reversibly."""
-    return "".join([f"{START}{role.translate(_IN_ROLE)}{MIDDLE}{escape(text)}{END}" for role, text in messages])
+    return "".join(map(_format, messages))
 
 
 @dataclass(frozen=True)
@@ -58,11 +75,17 @@ class RewritesHistory(ValueError):
     """A longer prefix changed the output of a shorter one."""
 
 
-def spans(messages: Iterator[tuple[str, str]] | list[tuple[str, str]], template: Template) -> Iterator[Span]:
+def spans(
+    messages: Iterator[tuple[str, str]] | list[tuple[str, str]],
+    template: Template,
+    whole_turns: float = WHOLE_TURNS,
+    whole_chars: float = WHOLE_CHARS,
+) -> Iterator[Span]:
     """Spans of successive turns.
 
-    Up to WHOLE_TURNS turns (where the prefixes come to more than WHOLE_CHARS characters: up to WINDOW turns) each prefix is rendered
-    whole, so any template that changes an earlier part raises, and turns may depend on all before them. Of longer conversations
+    Up to ``whole_turns`` turns (where the prefixes come to more than ``whole_chars`` characters: up to WINDOW turns) each prefix is
+    rendered whole, so any template that changes an earlier part raises, and turns may depend on all before them; with both
+    infinite, as ``render`` asks, that holds at every length, and work grows with the square of a conversation. Of longer ones
     only the first turn, the turn before and a window are held. That a template renders a turn alike behind these is then checked at
     every window by rendering the turn in both places; one that does not raises as well.
     """
@@ -70,8 +93,8 @@ def spans(messages: Iterator[tuple[str, str]] | list[tuple[str, str]], template:
     whole, rendered = True, 0
     done = template([])
     at = len(done)
-    for message in messages:
-        longest = WHOLE_TURNS if whole and rendered <= WHOLE_CHARS else WINDOW
+    for message in map(Turn, messages):
+        longest = whole_turns if whole and rendered <= whole_chars else WINDOW
         if len(held) > max(longest, 2):
             before = template(held[:-1])
             head, both = template(held[:1]), template([held[0], held[-1]])
@@ -96,7 +119,8 @@ def render(conversations: DataFrame, template: Template = turn_template, loss_ro
     """One row per turn, in order inside its partition: (conv_id, turn_no, piece, start, text_start, text_end, loss).
 
     The pieces of a conversation, put together, are its formatted text; positions are code points of that text. Turns are ordered
-    by turn (null first), then role and text. Null roles and texts are empty; rows without conv_id are one conversation.
+    by turn (null first), then role and text; each prefix is rendered whole, whatever a conversation's length. Null roles and
+    texts are empty; rows without conv_id are one conversation.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,7 +134,7 @@ def render(conversations: DataFrame, template: Template = turn_template, loss_ro
                     roles.append(role)
                     yield role, text
 
-            for number, s in enumerate(spans(noted(), template)):
+            for number, s in enumerate(spans(noted(), template, math.inf, math.inf)):
                 out.append((key, number, s.piece, s.start, s.text_start, s.text_end, roles[-1] in loss_roles))
                 if len(out) >= 512:
                     yield _turn_batch(out)
