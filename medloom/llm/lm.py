@@ -3,8 +3,8 @@
 A small network predicts every word from the two words on each side of it; a document's score is the sum of the
 log-probabilities of its words, each hidden in turn. The output is factored: the network gives the word's class, corpus counts
 give the word within its class, so the normalisation is over the classes only. Counts come from all documents. The network is
-trained in numpy, data-parallel: every partition takes gradient steps on its share of the training documents, and the
-results are averaged block by block in Spark.
+trained in numpy, data-parallel: every partition takes gradient steps on its part of all documents, and the results are
+averaged block by block in Spark.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ CLASSES = 48
 WIDTH = 16
 HIDDEN = 24
 SIDE = 2  # words seen on each side
-TRAIN_SHARE = 1 / 16  # of all documents, by hash
+TRAIN_SHARE = 1.0  # of all documents, by hash: all of them
 ROUNDS = 2
 RATE = 0.2
 STEP = 256  # words in a gradient step
@@ -97,7 +97,12 @@ def train_step(p: dict[str, np.ndarray], context: np.ndarray, target: np.ndarray
     p["b2"] -= rate * d.sum(axis=0)
     p["w1"] -= rate * (x.T @ dh)
     p["b1"] -= rate * dh.sum(axis=0)
-    np.add.at(p["embed"], context.ravel(), (-rate * 8) * dx.reshape(-1, WIDTH))
+    # sums by input row: several words of a step may have the same neighbour
+    rows = context.ravel()
+    order = np.argsort(rows, kind="stable")
+    rows = rows[order]
+    start = np.flatnonzero(np.append(True, rows[1:] != rows[:-1])) if len(rows) else order
+    p["embed"][rows[start]] -= (rate * 8) * np.add.reduceat(dx.reshape(-1, WIDTH)[order], start, axis=0)
 
 
 def word_counts(docs: DataFrame) -> np.ndarray:
@@ -129,7 +134,9 @@ def classes(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def train(docs: DataFrame, of: np.ndarray, share: float = TRAIN_SHARE, rounds: int = ROUNDS) -> np.ndarray:
     """Parameters after ``rounds`` of local steps and averaging, weighted by words seen."""
-    chosen = saved(docs.where(share_of_hash(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), share)).select("doc_id", "text"))
+    chosen = docs.select("doc_id", "text")
+    if share < 1:
+        chosen = saved(chosen.where(share_of_hash(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), share)))
     context = docs.sparkSession.sparkContext
     flat = initial()
     for r in range(rounds):
