@@ -87,22 +87,24 @@ def _forward(p: dict[str, np.ndarray], context: np.ndarray) -> tuple[np.ndarray,
 
 
 def train_step(p: dict[str, np.ndarray], context: np.ndarray, target: np.ndarray, rate: float) -> None:
-    x, h, z = _forward(p, context)
-    d = np.exp(z)
-    d[np.arange(len(target)), target] -= 1
+    x = p["embed"].take(context, axis=0).reshape(len(context), -1)
+    h = np.tanh(x @ p["w1"] + p["b1"])
+    d = h @ p["w2"] + p["b2"]
+    d -= d.max(axis=1, keepdims=True)
+    np.exp(d, out=d)
+    d /= (d @ np.ones(CLASSES, d.dtype))[:, None]
+    d.ravel()[np.arange(len(target)) * CLASSES + target] -= 1
     d /= len(target)
     dh = (d @ p["w2"].T) * (1 - h * h)
-    dx = (dh @ p["w1"].T).reshape(len(context), 2 * SIDE, WIDTH)
+    dx = dh @ p["w1"].T
     p["w2"] -= rate * (h.T @ d)
     p["b2"] -= rate * d.sum(axis=0)
     p["w1"] -= rate * (x.T @ dh)
     p["b1"] -= rate * dh.sum(axis=0)
-    # sums by input row: several words of a step may have the same neighbour
-    rows = context.ravel()
-    order = np.argsort(rows, kind="stable")
-    rows = rows[order]
-    start = np.flatnonzero(np.append(True, rows[1:] != rows[:-1])) if len(rows) else order
-    p["embed"][rows[start]] -= (rate * 8) * np.add.reduceat(dx.reshape(-1, WIDTH)[order], start, axis=0)
+    # several words of a step may have the same neighbour: at() takes every one off, and is fast on flat places alone
+    places = (context.reshape(-1, 1) * WIDTH + np.arange(WIDTH)).ravel()
+    dx *= rate * 8
+    np.subtract.at(p["embed"].reshape(-1), places, dx.ravel())
 
 
 def word_counts(docs: DataFrame) -> np.ndarray:
