@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from medloom.llm.cluster import free_name
 
 # Words and arcs remembered by one Python worker; a full memory of words is kept until the next one is full, that of arcs starts anew.
-MOST_WORDS = 250_000
+MOST_WORDS = 120_000
 MOST_ARCS = 500_000
 # Characters whose class, case and composition are the same in all Unicode versions in use: Latin, Cyrillic without the dotted
 # capital I, general punctuation, kana, common Han, Hangul.
@@ -197,7 +197,12 @@ class Tokenizer:
         self.alphabet = byte_alphabet()
         self.words = _Memory(self._word)
         self.pieces = _Memory(self._piece)
-        self.library = tokenizers.Tokenizer.from_file(path)
+        self.path = path
+
+    @functools.cached_property
+    def library(self) -> tokenizers.Tokenizer:
+        """Read only where a text has rarer scripts, as it holds the vocabulary a second time."""
+        return tokenizers.Tokenizer.from_file(self.path)
 
     def _word(self, word: str) -> bytes:
         return self._piece("".join([self.alphabet[b] for b in word.encode("utf-8")]))
