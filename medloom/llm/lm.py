@@ -31,6 +31,10 @@ ROUNDS = 2
 RATE = 0.2
 STEP = 256  # words in a gradient step
 BLOCK = 1024  # parameters averaged as one row
+PART = 1024  # words scored at once, so that their scores stay in the cache
+WIDE = 60.0  # scores within this need no shift: their single-precision exponentials neither overflow nor vanish
+
+_PAIRS = np.arange((INPUTS + 1) * WIDTH // 2).reshape(INPUTS + 1, -1)  # places of an input row, two parameters at each
 
 _SHAPES = {
     "embed": (INPUTS + 1, WIDTH),
@@ -77,34 +81,52 @@ def _contexts(tokens: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
-def _forward(p: dict[str, np.ndarray], context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    x = p["embed"][context].reshape(len(context), -1)
-    h = np.tanh(x @ p["w1"] + p["b1"])
-    z = h @ p["w2"] + p["b2"]
-    z -= z.max(axis=1, keepdims=True)
-    z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
+def _scores(p: dict[str, np.ndarray], context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Inputs, hidden values and scores of the classes, with exponentials that neither overflow nor vanish."""
+    x = p["embed"].take(context, axis=0).reshape(len(context), -1)
+    h = x @ p["w1"]
+    h += p["b1"]
+    np.tanh(h, out=h)
+    z = h @ p["w2"]
+    z += p["b2"]
+    if z.size and not -WIDE < z.min() <= z.max() < WIDE:
+        z -= z.max(axis=1, keepdims=True)
     return x, h, z
 
 
+def _forward(p: dict[str, np.ndarray], context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    x, h, z = _scores(p, context)
+    return x, h, z - np.log(np.exp(z) @ np.ones(CLASSES, z.dtype))[:, None]
+
+
+def log_likelihood(p: dict[str, np.ndarray], context: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Logarithm of the probability of every target class."""
+    z = _scores(p, context)[2]
+    own = z.ravel()[np.arange(len(target)) * CLASSES + target]
+    np.exp(z, out=z)
+    return own - np.log(z @ np.ones(CLASSES, z.dtype))
+
+
 def train_step(p: dict[str, np.ndarray], context: np.ndarray, target: np.ndarray, rate: float) -> None:
-    x = p["embed"].take(context, axis=0).reshape(len(context), -1)
-    h = np.tanh(x @ p["w1"] + p["b1"])
-    d = h @ p["w2"] + p["b2"]
-    d -= d.max(axis=1, keepdims=True)
+    n = len(target)
+    x, h, d = _scores(p, context)
     np.exp(d, out=d)
     d /= (d @ np.ones(CLASSES, d.dtype))[:, None]
-    d.ravel()[np.arange(len(target)) * CLASSES + target] -= 1
-    d /= len(target)
-    dh = (d @ p["w2"].T) * (1 - h * h)
+    d.ravel()[np.arange(0, n * CLASSES, CLASSES) + target] -= 1
+    d *= rate / n
+    dh = d @ p["w2"].T
+    dh *= 1 - h * h
     dx = dh @ p["w1"].T
-    p["w2"] -= rate * (h.T @ d)
-    p["b2"] -= rate * d.sum(axis=0)
-    p["w1"] -= rate * (x.T @ dh)
-    p["b1"] -= rate * dh.sum(axis=0)
-    # several words of a step may have the same neighbour: at() takes every one off, and is fast on flat places alone
-    places = (context.reshape(-1, 1) * WIDTH + np.arange(WIDTH)).ravel()
-    dx *= rate * 8
-    np.subtract.at(p["embed"].reshape(-1), places, dx.ravel())
+    ones = np.ones(n, d.dtype)
+    p["w2"] -= h.T @ d
+    p["b2"] -= ones @ d
+    p["w1"] -= x.T @ dh
+    p["b1"] -= ones @ dh
+    # several words of a step may have the same neighbour: at() takes every one off, and is fast on flat places alone;
+    # complex numbers take two parameters at a place
+    places = _PAIRS.take(context.ravel(), axis=0).ravel()
+    dx *= 8
+    np.subtract.at(p["embed"].reshape(-1).view(np.complex64), places, dx.ravel().view(np.complex64))
 
 
 def word_counts(docs: DataFrame) -> np.ndarray:
@@ -153,9 +175,9 @@ def train(docs: DataFrame, of: np.ndarray, share: float = TRAIN_SHARE, rounds: i
                     tokens, first = _tokens(data, offsets)
                     around, target = _contexts(tokens, first), sent.value[1][tokens]
                     order = np.random.default_rng(len(tokens)).permutation(len(tokens))
+                    around, target = around.take(order, axis=0), target.take(order)
                     for at in range(0, len(order), STEP):
-                        part = order[at : at + STEP]
-                        train_step(p, around[part], target[part], rate)
+                        train_step(p, around[at : at + STEP], target[at : at + STEP], rate)
                     seen += len(tokens)
             if seen:
                 pieces = [own[at : at + BLOCK].astype(np.float64) for at in range(0, _SIZE, BLOCK)]
@@ -202,8 +224,10 @@ def score(docs: DataFrame, share: float = TRAIN_SHARE, rounds: int = ROUNDS) ->
                     bounds = np.clip(first, left, right) - left
                     around = _contexts(tokens[left:right], bounds)[a - left : a - left + 8192]
                     own = tokens[a : a + 8192]
-                    z = _forward(p, around)[2]
-                    logs[a + 1 : a + 1 + len(own)] = z[np.arange(len(own)), of[own]] + within[own]
+                    for b in range(0, len(own), PART):
+                        part = slice(b, b + PART)
+                        logs[a + b + 1 : a + b + 1 + len(own[part])] = log_likelihood(p, around[part], of[own[part]])
+                    logs[a + 1 : a + 1 + len(own)] += within[own]
                 sums = np.cumsum(logs)
                 n = np.diff(first)
                 total = sums[first[1:]] - sums[first[:-1]]
