@@ -716,7 +716,7 @@ def _misrouted(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def _disjoint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every resolved condition goes to one table only."""
-    family = context(spark, sf_dir, "Condition").family("condition")
+    family = context(spark, sf_dir, "Condition").family("condition", columns=("id",))
     rows = family.withColumn("row_key", F.concat_ws("|", "id", "std_concept_id"))
     domains = ("Condition", "Procedure", "Measurement", "Observation")
     return QL.misrouted({d: V.route(rows, d) for d in domains})

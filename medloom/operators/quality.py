@@ -118,11 +118,11 @@ def row_bag_difference(actual: DataFrame, expected: DataFrame) -> DataFrame:
 
 
 def misrouted(branches: dict[str, DataFrame], key: str = "row_key") -> DataFrame:
-    """Rows that more than one branch of a family took. ``branches`` hold one key column each."""
+    """Rows that more than one branch of a family took. ``branches`` hold one key column each.
+
+    A key's set of branches has as many names as there are branches at most, so keys are shuffled once.
+    """
     parts = [df.select(F.col(key)).withColumn("branch", F.lit(name)) for name, df in branches.items()]
     rows = reduce(DataFrame.unionByName, parts)
-    return (
-        rows.groupBy(key)
-        .agg(F.count_distinct("branch").alias("branches"), F.min("branch").alias("first_branch"))
-        .where("branches > 1")
-    )
+    taken = rows.groupBy(key).agg(F.collect_set("branch").alias("names")).where(F.size("names") > 1)
+    return taken.select(key, F.size("names").cast("long").alias("branches"), F.array_min("names").alias("first_branch"))
